@@ -1,12 +1,13 @@
 """Table operators: dense numbering, null-safe lookups, skew-proof joins."""
 
 from inspectstar.operators.lookup import Lookup, lookup, star_lookup
-from inspectstar.operators.numbering import assign_key, row_number, running_total
+from inspectstar.operators.numbering import as_key, assign_key, row_number, running_total
 from inspectstar.operators.skew import Limits, hot_keys, spread_join
 
 __all__ = [
     "Limits",
     "Lookup",
+    "as_key",
     "assign_key",
     "hot_keys",
     "lookup",

@@ -68,13 +68,21 @@ def running_total(
     return total.drop("__place", "__part", "__offset")
 
 
+def as_key(number: Column, key_type: str = "int") -> Column:
+    """A row number as a surrogate key.
+
+    A table that outgrows ``int`` must be built with ``key_type="bigint"``. It fails here
+    otherwise, even where the session would let the cast wrap around.
+    """
+    if key_type != "int":
+        return number.cast(key_type)
+    too_large = F.raise_error(F.lit("more rows than an int key can number: use bigint keys"))
+    return F.when(number <= F.lit(2**31 - 1), number.cast("int")).otherwise(too_large)
+
+
 def assign_key(
     df: DataFrame, order: Sequence[str], name: str, scratch: Scratch, key_type: str = "int"
 ) -> DataFrame:
-    """Add a dense surrogate key.
-
-    The cast is the strict one: a table that outgrows ``int`` must fail or be built with
-    ``key_type="bigint"``, never wrap around.
-    """
+    """Add a dense surrogate key: 1..n in ascending ``order``, NULLs first."""
     numbered = row_number(df, order, "__number", scratch)
-    return numbered.withColumn(name, F.col("__number").cast(key_type)).drop("__number")
+    return numbered.withColumn(name, as_key(F.col("__number"), key_type)).drop("__number")

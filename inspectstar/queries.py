@@ -129,7 +129,7 @@ def sink_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("stage")
-    write_stage(derive_stage(spark, sf_dir), path, partitions=2)
+    write_stage(derive_stage(spark, sf_dir), path, spark.sparkContext.defaultParallelism)
     return read_stage(spark, path)
 
 
@@ -263,7 +263,7 @@ def star_lookup_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     stage = _landed(spark, sf_dir, scratch)
     dims = _dimensions(spark, stage, INSPECTION_DIMENSIONS, scratch)
-    rows = stage.select(*INSPECTION_GRAIN, "record_date").dropna(subset=["camis"])
+    rows = stage.select(*INSPECTION_GRAIN, "record_date").where(F.col("camis").isNotNull())
     specs = inspection_lookups(dims, ("ADDRESS_SK", "ADDRESS_CANDIDATES"))
     return star_lookup(rows, specs, scratch)
 

@@ -7,10 +7,13 @@ come back with real file sizes for the planner.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import itertools
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -33,14 +36,17 @@ def shared_folder(spark: SparkSession) -> str:
 class Scratch:
     """A private folder holding the intermediate tables of one build.
 
-    Used as a context manager it deletes its folder on exit; frames that still read from
-    it must be consumed (written) before that.
+    The folder is deleted when the application ends, or at the end of a ``with`` block;
+    frames that read from it must be consumed before that.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/inspectstar-{uuid.uuid4().hex}"
         self._ids = itertools.count()
+        self._hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        self._paths = spark.sparkContext._jvm.org.apache.hadoop.fs
+        atexit.register(self._discard)
 
     def path(self, label: str) -> str:
         return f"{self.root}/{next(self._ids):03d}-{label}"
@@ -52,9 +58,13 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def delete(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        atexit.unregister(self._discard)
+        path = self._paths.Path(self.root)
+        path.getFileSystem(self._hadoop).delete(path, True)
+
+    def _discard(self) -> None:
+        with contextlib.suppress(Py4JError, OSError):  # the JVM may be gone already
+            self.delete()
 
     def __enter__(self) -> Scratch:
         return self

@@ -1,7 +1,7 @@
 """Readers: record files, record columns, Parquet tables, delimited text."""
 
 from inspectstar.sources.records import frame_of, parse_records, read_records
-from inspectstar.sources.tables import read_stage, read_table, table_path
+from inspectstar.sources.tables import read_stage, read_table, spread, table_path
 from inspectstar.sources.text import read_fields
 
 __all__ = [
@@ -11,5 +11,6 @@ __all__ = [
     "read_records",
     "read_stage",
     "read_table",
+    "spread",
     "table_path",
 ]
