@@ -1,6 +1,6 @@
 """Table operators: dense numbering, null-safe lookups, skew-proof joins."""
 
-from inspectstar.operators.lookup import Lookup, lookup, star_lookup
+from inspectstar.operators.lookup import Lookup, lookup, reduced_star_lookup, star_lookup
 from inspectstar.operators.numbering import as_key, assign_key, row_number, running_total
 from inspectstar.operators.skew import Limits, hot_keys, spread_join
 
@@ -11,6 +11,7 @@ __all__ = [
     "assign_key",
     "hot_keys",
     "lookup",
+    "reduced_star_lookup",
     "row_number",
     "running_total",
     "spread_join",

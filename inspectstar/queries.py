@@ -244,7 +244,7 @@ def _violation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = _dimensions(spark, stage, SPECS, scratch)
     inspections = _inspections(spark, stage, dims, scratch)
     rows = violation_rows(stage, dims, scratch)
-    return match_visits(rows, inspections.select(*names.INSPECTION_COLUMNS), scratch)
+    return match_visits(rows, inspections.select(*names.INSPECTION_COLUMNS), dims, scratch)
 
 
 def join_fact_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +270,7 @@ def star_lookup_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_lookup_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five-key violation rows joined to the inspection fact, all columns."""
-    return _violation_pairs(spark, sf_dir)
+    return _violation_pairs(spark, sf_dir).withColumnRenamed("ACTION", "action")
 
 
 # Aggregations
@@ -302,14 +302,15 @@ def agg_dict_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     stage = _landed(spark, sf_dir, scratch)
     dims = _dimensions(spark, stage, INSPECTION_DIMENSIONS, scratch)
-    return inspection_rows(stage, dims, scratch)
+    return inspection_rows(stage, dims, scratch, carry=INSPECTION_GRAIN)
 
 
 def agg_fact2_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _violation_pairs(spark, sf_dir).select(
         "BOROUGH_SK", "INSPECTION_SK", "PHONE", "ACTION_SK", "CRITICAL_FLAG_SK", "GRADE_SK",
         "INSPECTION_TYPE_SK", "VIOLATION_CODE_SK", "INSCPECTION_DATE", "FOOD_PLACES_SK",
-        "ADDRESS_SK", "CUISINE_DESCRIPTION_SK", "score", "grade_date", "action",
+        "ADDRESS_SK", "CUISINE_DESCRIPTION_SK", "score", "grade_date",
+        F.col("ACTION").alias("action"),
     )
 
 

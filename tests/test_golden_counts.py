@@ -37,7 +37,7 @@ SIZES = {
 }
 
 
-@pytest.mark.parametrize("position, scale", enumerate(["0.001", "0.01", "0.1"]))
+@pytest.mark.parametrize("position, scale", list(enumerate(["0.001", "0.01", "0.1"])))
 def test_counts(spark, scratch, position, scale):
     path, dims_base, facts_base = (scratch.path(p) for p in ("stage", "dims", "facts"))
     write_stage(derive_stage(spark, f"{TESTDATA}/sf{scale}"), path)
@@ -65,7 +65,8 @@ def test_counts(spark, scratch, position, scale):
         f"{facts_base}/{names.INSPECTIONS}"
     )
     rows = violation_rows(stage, {t: dims[t] for t in VIOLATION_DIMENSIONS}, scratch)
-    pairs = match_visits(rows, inspections.select("INSPECTION_SK", "INSCPECTION_DATE", "PHONE"), scratch)
+    inspections = inspections.select("INSPECTION_SK", "INSCPECTION_DATE", "PHONE")
+    pairs = match_visits(rows, inspections, dims, scratch)
     got["violation star join"] = pairs.agg(F.sum("COPIES")).first()[0]
 
     assert got == {name: sizes[position] for name, sizes in SIZES.items()}

@@ -64,7 +64,7 @@ def _all_tables(spark, stage, limits):
     rows = stage.select("camis", "boro", "bin", "bbl", "zipcode", "cuisine_description")
     resolved = star_lookup(rows, inspection_lookups(dims), scratch, limits)
     pairs = match_visits(violation_rows(stage, dims, scratch, limits), inspections.select(
-        "INSPECTION_SK", "INSCPECTION_DATE", "PHONE"), scratch, limits)
+        "INSPECTION_SK", "INSCPECTION_DATE", "PHONE"), dims, scratch, limits)
     return [
         inspections.drop(*names.AUDIT_COLUMNS),
         violations.drop(*names.AUDIT_COLUMNS),
