@@ -55,6 +55,17 @@ def _cells(
     )
 
 
+def _join_columns(keys: Sequence[str], prefix: str) -> dict[str, Column]:
+    """Key and cell as columns that are never NULL, so that plain equality joins them."""
+    columns: dict[str, Column] = {}
+    for i, key in enumerate(keys):
+        columns[f"{prefix}{i}"] = F.coalesce(F.col(key).cast("string"), F.lit(""))
+        columns[f"{prefix}{i}_missing"] = F.col(key).isNull()
+    for part in ("left_parts", "right_parts"):
+        columns[f"{prefix}_{part}"] = F.col(f"__{part}")
+    return columns
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -62,6 +73,7 @@ def spread_join(
     hot: DataFrame,
     left_id: str,
     right_id: str,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Inner null-safe equi-join of two large sides with hot keys.
 
@@ -70,11 +82,21 @@ def spread_join(
     every right part, a right row the other way round, so each matching pair meets in
     exactly one cell. The parts follow a hash of ``left_id`` / ``right_id``, which should be
     unique per row; nothing is random, so a recomputed task places its rows as before.
+
+    ``tasks`` fixes the number of join tasks. Many-to-many joins need it: left to itself
+    Spark merges small cells by the size of what goes in, whatever comes out.
     The two sides must have no column name in common.
     """
-    cut_left = _cells(left, list(on), hot, left_id, "left_parts", "right_parts")
-    cut_right = _cells(right, list(on.values()), hot, right_id, "right_parts", "left_parts")
-    cut_right = cut_right.withColumnsRenamed({"__left_parts": "__l", "__right_parts": "__r"})
-    same_cell = (F.col("__left_parts") == F.col("__l")) & (F.col("__right_parts") == F.col("__r"))
-    joined = cut_left.join(cut_right, null_safe(list(on.items())) & same_cell, "inner")
-    return joined.drop("__left_parts", "__right_parts", "__l", "__r")
+    sides = []
+    for df, keys, row_id, own, other, prefix in (
+        (left, list(on), left_id, "left_parts", "right_parts", "__l"),
+        (right, list(on.values()), right_id, "right_parts", "left_parts", "__r"),
+    ):
+        cells = _cells(df, keys, hot, row_id, own, other)
+        columns = _join_columns(keys, prefix)
+        cells = cells.withColumns(columns).drop("__left_parts", "__right_parts")
+        sides.append((cells if tasks is None else cells.repartition(tasks, *columns), columns))
+    (cut_left, left_columns), (cut_right, right_columns) = sides
+    same = (F.col(a) == F.col(b) for a, b in zip(left_columns, right_columns))
+    joined = cut_left.join(cut_right, reduce(and_, same), "inner")
+    return joined.drop(*left_columns, *right_columns)

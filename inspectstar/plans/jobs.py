@@ -33,14 +33,18 @@ class BuildOptions:
     limits: Limits = Limits()
     as_of: Column | datetime.datetime | None = None
     key_type: str = "int"
-    concurrent_jobs: int = 4
+    concurrent_jobs: int = len(DIMENSIONS)
 
 
 def land_stage(
-    spark: SparkSession, records_path: str, stage_path: str, partitions: int | None = None
+    spark: SparkSession,
+    records_path: str,
+    stage_path: str,
+    partitions: int | None = None,
+    arrays: bool = False,
 ) -> None:
     """Exported JSON records -> staging table."""
-    write_stage(read_records(spark, records_path), stage_path, partitions)
+    write_stage(read_records(spark, records_path, arrays), stage_path, partitions)
 
 
 def write_dimensions(
@@ -71,11 +75,10 @@ def write_dimensions(
 _AUDIT_SCHEMA = "INGESTION_DATE date, INGESTION_TIME timestamp"
 
 
-def dimension_schema(table: str, key_type: str = "int") -> str | None:
-    """The schema that reads a partitioned dimension back with its own types."""
+def dimension_schema(table: str, key_type: str = "int") -> str:
+    """The schema of a stored dimension: no footer is read to infer it, and partition
+    values keep their type."""
     spec = SPECS[table]
-    if not spec.partition_by:
-        return None
     types = {c: "string" for c in spec.output_columns()} | spec.casts | {spec.key: key_type}
     return ", ".join(f"{c} {t}" for c, t in types.items()) + ", " + _AUDIT_SCHEMA
 

@@ -16,8 +16,8 @@ def read_table(
 ) -> DataFrame:
     """Scan one table, plain or partitioned.
 
-    Give ``schema`` (DDL) for partitioned tables whose partition values must keep their type
-    (a zip code such as 00501 would otherwise be discovered as a number).
+    Give ``schema`` (DDL) where partition values must keep their type: a folder named 007
+    would otherwise be discovered as a number.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(table_path(base, table))

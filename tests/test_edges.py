@@ -124,6 +124,13 @@ def test_missing_and_extra_fields_of_a_record(spark, tmp_path):
     assert frame_of(spark, [{"camis": "1"}]).first().grade is None
 
 
+def test_records_in_arrays(spark, tmp_path):
+    (tmp_path / "page-1.json").write_text('[{"camis": "1"},\n{"camis": "2", "grade": "A"}]')
+    (tmp_path / "page-2.json").write_text('[{"camis": "3"}]')
+    rows = read_records(spark, str(tmp_path), arrays=True)
+    assert tuples(rows, "camis", "grade") == [("1", None), ("2", "A"), ("3", None)]
+
+
 def test_malformed_records_fail(spark, tmp_path):
     path = tmp_path / "records"
     path.mkdir()

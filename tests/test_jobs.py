@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inspectstar import schema as names
-from inspectstar.__main__ import main
+from inspectstar.__main__ import JOBS, main
 from inspectstar.plans import jobs
 from inspectstar.plans.dimensions import SPECS
 from inspectstar.scratch import Scratch, shared_folder
@@ -135,11 +135,14 @@ def test_spread_leaves_larger_scans_alone(spark):
     assert spread(wide) is wide
 
 
-def test_command_line(spark, small_stage, tmp_path, monkeypatch, capsys):
-    small_stage.limit(200).write.json(f"{tmp_path}/records")
-    places = ["records", "stage", "dimensions", "facts"]
-    arguments = [a for p in places for a in (f"--{p}", f"{tmp_path}/{p}")]
-    monkeypatch.setattr(sys, "argv", ["inspectstar", *arguments])
+@pytest.mark.parametrize("one_by_one", [False, True])
+def test_command_line(spark, small_stage, tmp_path, monkeypatch, one_by_one):
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
-    main()
-    assert names.VIOLATIONS in capsys.readouterr().out
+    small_stage.limit(200).write.json(f"{tmp_path}/records")
+    for job in ("stage", "dimensions", "inspections", "violations") if one_by_one else ("all",):
+        arguments = [a for p in JOBS[job] for a in (f"--{p}", f"{tmp_path}/{p}")]
+        monkeypatch.setattr(sys, "argv", ["inspectstar", job, *arguments])
+        main()
+    facts = f"{tmp_path}/facts"
+    assert read_table(spark, facts, names.INSPECTIONS).count() > 100
+    assert read_table(spark, facts, names.VIOLATIONS).count() > 100

@@ -62,9 +62,10 @@ def test_single_partition_only_for_partition_totals(small_stage, star, scratch):
         assert all("__part" in s and "__total" in s and s.count("#") == 2 for s in singles)
 
 
-def test_violations_are_not_grouped_or_sorted_after_the_join(small_stage, star, scratch):
+@pytest.mark.parametrize("limits", [Limits(), Limits(pairs_per_task=1000)])
+def test_violations_are_not_grouped_or_sorted_after_the_join(small_stage, star, scratch, limits):
     dims, inspections = star
-    plan = plan_of(build_violations(small_stage, dims, inspections, scratch))
+    plan = plan_of(build_violations(small_stage, dims, inspections, scratch, limits))
     tree = plan[: plan.index("\n\n(1)")]
     above_join = tree[: tree.index("Join")]
     assert not re.search("Aggregate|Sort|Exchange|Window", above_join)
@@ -92,3 +93,13 @@ def test_borough_folders_prune(spark, small_stage, tmp_path):
     addresses = jobs.read_dimensions(spark, str(tmp_path), [names.ADDRESSES])[names.ADDRESSES]
     assert re.search(r"PartitionFilters: \[.*BOROUGH.* = EUROPE", plan_of(
         addresses.where("BOROUGH = 'EUROPE'")))
+
+
+def test_large_outputs_fix_the_number_of_join_tasks(small_stage, star, scratch):
+    """Both sides are dealt to the same tasks once, and the join adds no exchange of its own."""
+    dims, inspections = star
+    limits = Limits(pairs_per_task=100)
+    plan = plan_of(build_violations(small_stage, dims, inspections, scratch, limits))
+    dealt = re.findall(r"hashpartitioning\(.*?, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert dealt == ["398", "398"]  # 19,878 pairs, 100 per task, twice the tasks
+    assert not re.search(r"hashpartitioning\(__[lr]0.*ENSURE_REQUIREMENTS", plan)

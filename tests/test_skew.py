@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from inspectstar import schema as names
 from inspectstar.operators import Limits, Lookup, hot_keys, spread_join, star_lookup
+from inspectstar.operators.skew import _cells
 from inspectstar.plans.dimensions import DIMENSIONS, build_dimension
 from inspectstar.plans.inspections import build_inspections, inspection_lookups
 from inspectstar.plans.violations import build_violations, match_visits, violation_rows
@@ -42,6 +43,16 @@ def test_hot_keys(spark):
     assert tuples(hot_keys(rows, ["k"], 2)) == [(None, 4, 1), ("a", 2, 1)]
 
 
+def test_cells_hold_an_even_share(spark):
+    """A row of a hot key takes one part of its own side and every part of the other."""
+    rows = spark.range(10_000).select("id", F.lit("hot").alias("k"))
+    hot = spark.createDataFrame([("hot", 20, 3)], "k string, left_parts int, right_parts int")
+    cells = _cells(rows, ["k"], hot, "id", "left_parts", "right_parts")
+    sizes = cells.groupBy("__left_parts", "__right_parts").count().collect()
+    assert {(r[0], r[1]) for r in sizes} == set(product(range(20), range(3)))
+    assert max(r[2] for r in sizes) < 1.3 * 10_000 / 20
+
+
 def test_hot_rows_spread_over_all_parts(spark, scratch):
     """A key holding most rows, all of them identical, is cut evenly."""
     rows = spark.range(1000).select(F.lit("hot").alias("k")).repartition(4)
