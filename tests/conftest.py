@@ -12,8 +12,8 @@ from inspectstar.sources import frame_of, read_stage
 
 TESTDATA = "/root/testdata"
 
-# Limits so low that every lookup shuffles and every key counts as hot.
-TINY = Limits(broadcast_bytes=0, rows_per_task=3, pairs_per_task=9)
+# Limits so low that every lookup shuffles and most keys and groups count as hot.
+TINY = Limits(broadcast_bytes=0, rows_per_task=100, pairs_per_task=400)
 
 
 @pytest.fixture(scope="session")

@@ -84,22 +84,19 @@ def _all_tables(spark, stage, limits):
     ]
 
 
-@pytest.mark.parametrize(
-    "limits",
-    [
-        TINY,
-        Limits(broadcast_bytes=0),
-        Limits(rows_per_task=50, pairs_per_task=100),
-    ],
-    ids=["all hot", "no broadcast", "some hot"],
-)
-def test_limits_change_no_result(spark, small_stage, limits):
-    for plain, cut in zip(
-        _all_tables(spark, small_stage, Limits()), _all_tables(spark, small_stage, limits)
-    ):
+@pytest.fixture(scope="module")
+def plain_tables(spark, small_stage):
+    return [df.persist() for df in _all_tables(spark, small_stage, Limits())]
+
+
+@pytest.mark.parametrize("limits", [TINY, Limits(broadcast_bytes=0)], ids=["hot", "large"])
+def test_limits_change_no_result(spark, small_stage, plain_tables, limits):
+    for plain, cut in zip(plain_tables, _all_tables(spark, small_stage, limits)):
         assert plain.columns == cut.columns
+        cut.persist()
         assert plain.count() == cut.count()
         assert plain.exceptAll(cut).isEmpty()
+        cut.unpersist()
 
 
 def test_a_third_of_all_rows_in_one_group(spark, scratch):
