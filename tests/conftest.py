@@ -5,6 +5,7 @@ from pyspark.sql import SparkSession
 
 from inspectstar.operators import Limits
 from inspectstar.plans import jobs
+from inspectstar.plans.dimensions import SPECS, build_dimension
 from inspectstar.plans.driver_stage import derive_stage
 from inspectstar.scratch import Scratch
 from inspectstar.sinks import write_stage
@@ -67,6 +68,16 @@ def built(spark, tmp_path):
     return build
 
 
+@pytest.fixture()
+def dimension(spark, scratch):
+    """One dimension of hand-written records, without the rest of the build."""
+
+    def build(records, table):
+        return build_dimension(frame_of(spark, records), SPECS[table], scratch)
+
+    return build
+
+
 def record(**values):
     """One staging record with every key present; override what the test is about."""
     base = {

@@ -49,9 +49,10 @@ def test_violation_without_place_id_joins_by_date_and_phone(built):
     assert read(names.VIOLATIONS).count() == 2
 
 
-def test_name_arriving_late(built):
-    read = built([record(dba=None), record(dba="X"), record(camis="2", dba=None)])
-    assert tuples(read(names.FOOD_PLACES), "CAMIS", "DBA") == [("1", "X"), ("2", None)]
+def test_name_arriving_late(dimension):
+    records = [record(dba=None), record(dba="X"), record(camis="2", dba=None)]
+    places = dimension(records, names.FOOD_PLACES)
+    assert tuples(places, "CAMIS", "DBA") == [("1", "X"), ("2", None)]
 
 
 def test_address_fanout_settles_on_one_inspection(built):
@@ -72,40 +73,43 @@ def test_shared_phone_attaches_violations_to_both_places(built):
     assert pairs == [(1, 1), (1, 2), (2, 1), (2, 2)]
 
 
-def test_missing_phones_of_a_date_match_each_other(built):
-    read = built([record(phone=None), record(camis="2", phone=None, inspection_date=None)])
-    assert read(names.VIOLATIONS).count() == 2
-    read = built([record(phone=None), record(camis="2", phone=None)])
-    assert tuples(read(names.VIOLATIONS), "FOOD_PLACES_SK") == [(1,), (2,)]
-
-
-def test_unreadable_and_padded_numbers(built):
+def test_missing_phones_and_dates_match_each_other(built):
     read = built(
         [
-            record(census_tract="abc", latitude="north"),
-            record(camis="2", building="20", census_tract="010300"),
+            record(camis="1", phone=None),
+            record(camis="2", phone=None),
+            record(camis="3", phone=None, inspection_date=None),
         ]
     )
-    rows = tuples(read(names.ADDRESSES), "BUILDING", "CENSUS_TRACT", "LATITUTDE")
+    pairs = tuples(read(names.VIOLATIONS), "INSCPECTION_DATE", "FOOD_PLACES_SK")
+    assert pairs == [(None, 3), ("2023-01-02", 1), ("2023-01-02", 2)]
+
+
+def test_unreadable_and_padded_numbers(dimension):
+    records = [
+        record(census_tract="abc", latitude="north"),
+        record(camis="2", building="20", census_tract="010300"),
+    ]
+    addresses = dimension(records, names.ADDRESSES)
+    rows = tuples(addresses, "BUILDING", "CENSUS_TRACT", "LATITUTDE")
     assert [r[1:] for r in rows] == [(None, None), (10300, Decimal("40.5"))]
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_casts_do_not_depend_on_ansi(spark, built, ansi):
+def test_casts_do_not_depend_on_ansi(spark, dimension, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        read = built([record(census_tract="abc")])
-        assert tuples(read(names.ADDRESSES), "CENSUS_TRACT", "ADDRESS_SK") == [(None, 1)]
+        addresses = dimension([record(census_tract="abc")], names.ADDRESSES)
+        assert tuples(addresses, "CENSUS_TRACT", "ADDRESS_SK") == [(None, 1)]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
-def test_address_attributes_come_from_one_row(built):
-    read = built(
-        [record(latitude="2", longitude="1"), record(latitude="1", longitude="9", nta="n1")]
-    )
-    assert tuples(read(names.ADDRESSES), "LATITUTDE", "LONGITUDE") == [(1, 9)]
+def test_address_attributes_come_from_one_row(dimension):
+    records = [record(latitude="2", longitude="1"), record(latitude="1", longitude="9")]
+    addresses = dimension(records, names.ADDRESSES)
+    assert tuples(addresses, "LATITUTDE", "LONGITUDE") == [(1, 9)]
 
 
 def test_empty_and_null_partition_values(spark, tmp_path, built):
@@ -160,12 +164,16 @@ def test_second_write_replaces_the_first(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_fixed_and_clock_audit_columns(built):
+def test_fixed_audit_columns(built):
     moment = datetime.datetime(2024, 5, 6, 7, 8, 9)
-    row = built([record()], as_of=moment)(names.VIOLATIONS).first()
-    assert row.INGESTION_DATE == moment.date()
-    row = built([record()])(names.INSPECTIONS).first()
-    assert abs(row.INGESTION_TIME.replace(tzinfo=None) - datetime.datetime.now()).days <= 1
+    read = built([record()], as_of=moment)
+    for table in (names.BOROUGH, names.INSPECTIONS, names.VIOLATIONS):
+        assert read(table).first().INGESTION_DATE == moment.date()
+
+
+def test_audit_columns_follow_the_clock(dimension):
+    row = dimension([record()], names.BOROUGH).first()
+    assert abs(row.INGESTION_TIME - datetime.datetime.now()) < datetime.timedelta(days=1)
 
 
 def test_empty_staging(built):
