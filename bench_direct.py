@@ -47,7 +47,8 @@ def dimension(stage: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 def joined(rows: DataFrame, other: DataFrame, on: dict[str, str]) -> DataFrame:
     other = other.withColumnsRenamed({c: f"other_{c}" for c in on.values()})
-    return rows.join(other, reduce(and_, (F.col(a).eqNullSafe(F.col(f"other_{b}")) for a, b in on.items())))
+    matches = (F.col(a).eqNullSafe(F.col(f"other_{b}")) for a, b in on.items())
+    return rows.join(other, reduce(and_, matches))
 
 
 def main() -> None:

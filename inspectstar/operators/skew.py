@@ -13,11 +13,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Limits:
-    """How much one task or one broadcast may be given."""
+    """How much one task or one broadcast may be given.
+
+    ``rows_per_task`` bounds the rows of one key in a lookup, ``pairs_per_task`` the output
+    of one task in a many-to-many join. They also keep the number of tasks reasonable: a
+    trillion output rows make about a hundred thousand.
+    """
 
     broadcast_bytes: int = 32 * 1024 * 1024
     rows_per_task: int = 2_000_000
-    pairs_per_task: int = 4_000_000
+    pairs_per_task: int = 16_000_000
 
 
 def null_safe(pairs: Sequence[tuple[str, str]]) -> Column:

@@ -61,7 +61,11 @@ def test_many_partitions_are_really_used(spark, orders, scratch, partitions):
     assert placed.select(F.shiftright("__place", 33)).distinct().count() > 8
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 @given(
     st.sets(
         st.tuples(
@@ -75,7 +79,9 @@ def test_keys_are_dense_and_nulls_first(spark, rows):
     df = spark.createDataFrame(list(rows), "a string, b int").repartition(4)
     with Scratch(spark) as scratch:
         got = {(r.a, r.b): r.k for r in assign_key(df, ["a", "b"], "k", scratch).collect()}
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0))
+    ordered = sorted(
+        rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0)
+    )
     assert got == {row: i + 1 for i, row in enumerate(ordered)}
 
 

@@ -57,7 +57,8 @@ def test_single_partition_only_for_partition_totals(small_stage, star, scratch):
         build_violations(small_stage, dims, inspections, scratch),
     ):
         plan = plan_of(df)
-        singles = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: SinglePartition", plan)
+        one_task = r"Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: SinglePartition"
+        singles = re.findall(one_task, plan)
         assert singles
         assert all("__part" in s and "__total" in s and s.count("#") == 2 for s in singles)
 
@@ -91,8 +92,8 @@ def test_place_dimension_has_no_self_join(small_stage):
 def test_borough_folders_prune(spark, small_stage, tmp_path):
     jobs.write_dimensions(spark, small_stage, str(tmp_path), tables=[names.ADDRESSES])
     addresses = jobs.read_dimensions(spark, str(tmp_path), [names.ADDRESSES])[names.ADDRESSES]
-    assert re.search(r"PartitionFilters: \[.*BOROUGH.* = EUROPE", plan_of(
-        addresses.where("BOROUGH = 'EUROPE'")))
+    plan = plan_of(addresses.where("BOROUGH = 'EUROPE'"))
+    assert re.search(r"PartitionFilters: \[.*BOROUGH.* = EUROPE", plan)
 
 
 def test_large_outputs_fix_the_number_of_join_tasks(small_stage, star, scratch):

@@ -21,7 +21,11 @@ from tests.conftest import TINY, tuples
 KEYS = st.one_of(st.none(), st.sampled_from(["a", "b"]))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 @given(st.lists(KEYS, max_size=12), st.lists(KEYS, max_size=12), st.integers(1, 4))
 def test_spread_join_equals_brute_force(spark, left_keys, right_keys, parts):
     left = spark.createDataFrame(list(enumerate(left_keys)), "l long, x string")
@@ -74,8 +78,9 @@ def _all_tables(spark, stage, limits):
     violations = build_violations(stage, dims, inspections, scratch, limits)
     rows = stage.select("camis", "boro", "bin", "bbl", "zipcode", "cuisine_description")
     resolved = star_lookup(rows, inspection_lookups(dims), scratch, limits)
-    pairs = match_visits(violation_rows(stage, dims, scratch, limits), inspections.select(
-        "INSPECTION_SK", "INSCPECTION_DATE", "PHONE"), dims, scratch, limits)
+    violation = violation_rows(stage, dims, scratch, limits)
+    visits = inspections.select("INSPECTION_SK", "INSCPECTION_DATE", "PHONE")
+    pairs = match_visits(violation, visits, dims, scratch, limits)
     return [
         inspections.drop(*names.AUDIT_COLUMNS),
         violations.drop(*names.AUDIT_COLUMNS),
