@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspectstar.llm import language, mixing
+from inspectstar.llm import language, mixing, quality, toxicity
 from inspectstar.llm.common import fold, table
 from inspectstar.scratch import Scratch
 
@@ -35,7 +35,41 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """(doc_id, label) of the rows to learn from."""
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 3) != 1)
+    return labels.select("doc_id", F.col(label).alias("label")).where("label is not null")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    described = Scratch(spark).keep(quality.describe(docs), "statistics")
+    rows = described.select("doc.doc_id", "stats")
+    model = quality.fit(rows.join(_labelled(spark, sf_dir, "quality"), "doc_id"))
+    return quality.score(described, model).select(
+        "doc.doc_id",
+        (fold(F.col("doc.doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = docs.join(_labelled(spark, sf_dir, "toxic"), "doc_id")
+    model = toxicity.fit(Scratch(spark).keep(labelled, "labelled"), toxicity.letter_model(docs))
+    return toxicity.score(docs, model).select(
+        "doc.doc_id",
+        (fold(F.col("doc.doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op6_language": op6_language,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
 }

@@ -108,12 +108,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """One 64-bit hash per word."""
-        data = self.piece.data
-        _powers.grow(len(data) + 1)
-        total = np.zeros(len(data) + 1, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum(_BYTE_CODES[data] * _powers.up[: len(data)], out=total[1:])
-            return mix64((total[self.end] - total[self.start]) * _powers.down[self.start])
+        return span_hashes(self.piece.data, self.start, self.end)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.offset)
@@ -126,6 +121,23 @@ class Words:
         return self.piece.data[self.start[i] : self.end[i]].tobytes().decode("utf-8")
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span of ``data``."""
+    _powers.grow(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_BYTE_CODES[data] * _powers.up[: len(data)], out=total[1:])
+        return mix64((total[end] - total[start]) * _powers.down[start])
+
+
+def distinct_counts(hashes: np.ndarray, document: np.ndarray, n: int) -> np.ndarray:
+    """The number of different hashes of each of ``n`` documents."""
+    with np.errstate(over="ignore"):
+        keys = mix64(hashes + document.astype(np.uint64) * _BASE)
+    _, first = np.unique(keys, return_index=True)
+    return np.bincount(document[first], minlength=n)
+
+
 def slices(texts: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Iterator[Slice]:
     """``texts`` in slices of about ``size`` bytes; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
