@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspectstar.llm import language, mixing, quality, toxicity
+from inspectstar.llm import decontamination, fingerprints, language, mixing, quality, toxicity
 from inspectstar.llm.common import fold, table
 from inspectstar.scratch import Scratch
 
@@ -22,6 +22,29 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
+    rows = fingerprints.with_next(docs, Scratch(spark))
+    n_chars = F.char_length("doc.text")
+    cut = F.floor(n_chars / 4).cast("int")
+    kept = F.substring(F.col("doc.text"), F.lit(1), n_chars - cut)
+    edited = rows.withColumn(
+        "edited", F.concat(kept, F.substring(F.col("next_text"), F.lit(1), cut))
+    )
+    edited = edited.withColumn("edited_hashes", fingerprints.anchors(F.col("edited"))["hash"])
+    return edited.select(
+        "doc.doc_id",
+        n_chars.cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.fingerprint(F.col("hashes")).alias("fingerprint"),
+        fingerprints.fingerprint(F.col("edited_hashes")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        fingerprints.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+    )
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(fold(F.col("doc_id"), 5) != 0))
@@ -67,9 +90,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark)
+    )
+    return found.drop("text_key")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op3_fingerprints": op3_fingerprints,
     "op6_language": op6_language,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
