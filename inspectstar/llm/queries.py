@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspectstar.llm import decontamination, fingerprints, language, mixing, quality, toxicity
+from inspectstar.llm import decontamination, fingerprints, language, mixing, personal, quality, toxicity
 from inspectstar.llm.common import fold, table
 from inspectstar.scratch import Scratch
 
@@ -45,6 +45,21 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.detect(docs, Scratch(spark))
+    counts = [
+        personal.count_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in personal.KINDS
+    ]
+    base = personal.named(F.col("base")).cast("binary")
+    return found.select(
+        "doc.doc_id",
+        *counts,
+        F.sha2(base, 256).alias("base_sha256"),
+        personal.named(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(fold(F.col("doc_id"), 5) != 0))
@@ -100,6 +115,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_fingerprints": op3_fingerprints,
+    "op5_personal": op5_personal,
     "op6_language": op6_language,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
