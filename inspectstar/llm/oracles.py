@@ -48,4 +48,30 @@ with recursive sized as (
 select doc_id, size, source_size, target, (size * copies)::bigint as taken, copies from counted
 """
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1}
+OP4 = r"""
+with texts as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+    from documents
+), windows as (
+    select doc_id, unnest(range(1, len(words) - 18)) as pos, words from texts where len(words) >= 20
+), hashed as (
+    select doc_id, pos, md5_number(array_to_string(words[pos:pos + 19], ' ')) as content
+    from windows
+), ranked as (
+    select doc_id, pos, row_number() over (partition by content order by doc_id, pos) as place
+    from hashed
+), covered as (
+    select distinct doc_id, unnest(range(pos, pos + 20)) as pos from ranked where place > 1
+), placed as (
+    select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos from texts
+), kept as (
+    select doc_id, count(*)::bigint as n_kept, string_agg(word, ' ' order by pos) as text
+    from placed anti join covered using (doc_id, pos) group by doc_id
+)
+select texts.doc_id, len(words)::bigint as n_words,
+       (len(words) - coalesce(n_kept, 0))::bigint as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from texts left join kept using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_mixing": OP1, "op4_repeats": OP4}

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspectstar.llm import decontamination, fingerprints, language, mixing, personal, quality, toxicity
+from inspectstar.llm import (
+    decontamination,
+    fingerprints,
+    language,
+    mixing,
+    personal,
+    quality,
+    repeats,
+    toxicity,
+)
 from inspectstar.llm.common import fold, table
 from inspectstar.scratch import Scratch
 
@@ -45,6 +54,13 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.remove_repeats(docs, Scratch(spark))
+    kept = F.sha2(F.col("kept").cast("binary"), 256)
+    return found.select("doc.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op5_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = personal.detect(docs, Scratch(spark))
@@ -115,6 +131,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_repeats": op4_repeats,
     "op5_personal": op5_personal,
     "op6_language": op6_language,
     "op8_quality": op8_quality,
