@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from inspectstar.llm import (
     decontamination,
     fingerprints,
+    jaccard,
     language,
     mixing,
     personal,
@@ -95,6 +96,11 @@ def _labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return labels.select("doc_id", F.col(label).alias("label")).where("label is not null")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.join(table(spark, sf_dir, "documents"), Scratch(spark))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     described = Scratch(spark).keep(quality.describe(docs), "statistics")
@@ -110,8 +116,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labelled = docs.join(_labelled(spark, sf_dir, "toxic"), "doc_id")
-    model = toxicity.fit(Scratch(spark).keep(labelled, "labelled"), toxicity.letter_model(docs))
+    labels = _labelled(spark, sf_dir, "toxic")
+    model = toxicity.fit(docs, labels, toxicity.letter_model(docs), Scratch(spark))
     return toxicity.score(docs, model).select(
         "doc.doc_id",
         (fold(F.col("doc.doc_id"), 3) == 1).alias("held_out"),
@@ -134,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op4_repeats": op4_repeats,
     "op5_personal": op5_personal,
     "op6_language": op6_language,
+    "op7_jaccard": op7_jaccard,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,

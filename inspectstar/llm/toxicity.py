@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from inspectstar.llm.common import wrapped
 from inspectstar.llm.quality import isotonic
 from inspectstar.llm.words import Slice, Words, mix64, slices, span_hashes
+from inspectstar.scratch import Scratch
 
 TRAINING_ROWS = 500_000
 #: A feature needs this share of the toxic training rows, and this many of them at least.
@@ -277,13 +278,22 @@ class ToxicityModel:
         return np.interp(self.evidence(texts), self.knots, self.levels)
 
 
-def fit(rows: DataFrame, costs: np.ndarray, limit: int = TRAINING_ROWS) -> ToxicityModel:
-    """Learns from ``rows`` (doc_id, text, label), label 0 or 1; reads them several times."""
-    rows = rows.where("label in (0, 1)")
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    costs: np.ndarray,
+    scratch: Scratch,
+    limit: int = TRAINING_ROWS,
+) -> ToxicityModel:
+    """Learns from ``docs`` (doc_id, text) and ``labels`` (doc_id, label), label 0 or 1."""
+    labels = labels.select("doc_id", "label").where("doc_id is not null and label in (0, 1)")
     restorer = Restorer(costs)
-    total = rows.count()
+    total = labels.count()
     if total > limit:
-        rows = rows.where(F.abs(F.hash("doc_id")) < int(limit / total * (1 << 31)))
+        labels = labels.where(F.abs(F.hash("doc_id")) < int(limit / total * (1 << 31)))
+    # Bounded by ``limit``, so the labels go to the texts and no text is shuffled.
+    labelled = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
+    rows = scratch.keep(labelled, "labelled")
     # Odds come from two thirds of the rows, calibration from the others.
     apart = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(3)) == 0
     learned, kept = rows.where(~apart), rows.where(apart)
