@@ -12,6 +12,7 @@ from inspectstar.llm import (
     fingerprints,
     jaccard,
     language,
+    lm,
     mixing,
     personal,
     quality,
@@ -32,6 +33,22 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    scored = lm.score(docs, ~held_out, Scratch(spark))
+    return scored.select(
+        "doc.doc_id",
+        (fold(F.col("doc.doc_id"), 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")
@@ -136,6 +153,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_scores": op2_scores,
     "op3_fingerprints": op3_fingerprints,
     "op4_repeats": op4_repeats,
     "op5_personal": op5_personal,
