@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 #: A word: code points other than space and \t..\r.
@@ -31,5 +32,10 @@ def wrapped(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
 
 
+def schema_with_doc(rows: DataFrame, columns: str) -> StructType:
+    """The column ``doc`` of ``rows``, followed by ``columns`` (as DDL)."""
+    return StructType([rows.schema["doc"], *StructType.fromDDL(columns).fields])
+
+
 def unwrapped(docs: DataFrame) -> DataFrame:
     return docs.select("doc.*")

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inspectstar.llm.common import wrapped
+from inspectstar.llm.common import schema_with_doc, wrapped
 from inspectstar.llm.words import mix64, slices
 
 UNDETERMINED = "und"
@@ -191,5 +191,4 @@ def identify(docs: DataFrame, model: LanguageModel, text: Column | None = None)
             yield pa.RecordBatch.from_arrays(out, names=["doc", "lang_pred", "score", "ambiguous"])
 
     rows = wrapped(docs).withColumn("text", F.col("doc.text") if text is None else text)
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(predict, f"doc {kind}, lang_pred string, score double, ambiguous boolean")
+    return rows.mapInArrow(predict, schema_with_doc(rows, "lang_pred string, score double, ambiguous boolean"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inspectstar.llm.common import wrapped
+from inspectstar.llm.common import schema_with_doc, wrapped
 from inspectstar.llm.words import Slice, distinct_counts, slices, span_hashes
 
 TRAINING_ROWS = 500_000
@@ -108,8 +108,7 @@ def describe(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = wrapped(docs).select(
         F.col("doc").dropFields(text).alias("doc"), F.col("doc").getField(text).alias("text")
     )
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(_describe, f"doc {kind}, stats array<double>")
+    return rows.mapInArrow(_describe, schema_with_doc(rows, "stats array<double>"))
 
 
 @dataclass
@@ -228,5 +227,4 @@ def score(described: DataFrame, model: QualityModel) -> DataFrame:
                 [batch.column("doc"), pa.array(scores)], names=["doc", "score"]
             )
 
-    kind = described.schema["doc"].dataType.simpleString()
-    return described.mapInArrow(predict, f"doc {kind}, score double")
+    return described.mapInArrow(predict, schema_with_doc(described, "score double"))

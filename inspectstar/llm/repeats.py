@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inspectstar.llm.common import wrapped
+from inspectstar.llm.common import schema_with_doc, wrapped
 from inspectstar.llm.words import Words, runs, slices, within
 from inspectstar.scratch import Scratch
 
@@ -41,6 +41,8 @@ SEED = 5
 def _chosen(hashes: np.ndarray, choices: int) -> np.ndarray:
     """For each place the position of the smallest of the ``choices`` hashes from there on."""
     n = len(hashes) - choices + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
     at, reach = np.arange(len(hashes)), 1
 
     def better(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -233,9 +235,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, width: int = WIDTH) -> Dat
     )
     lists = joined(by_document, firsts, "left")
     rows = joined(rows, lists, "left")
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(
-        _cut(width),
-        f"doc {kind}, n_words long, n_removed long, repeats array<struct<start:int,end:int>>, "
-        "kept string",
+    columns = (
+        "n_words long, n_removed long, repeats array<struct<start:int,end:int>>, kept string"
     )
+    return rows.mapInArrow(_cut(width), schema_with_doc(rows, columns))

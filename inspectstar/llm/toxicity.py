@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inspectstar.llm.common import wrapped
+from inspectstar.llm.common import schema_with_doc, wrapped
 from inspectstar.llm.quality import isotonic
 from inspectstar.llm.words import Slice, Words, mix64, slices, span_hashes
 from inspectstar.scratch import Scratch
@@ -373,8 +373,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     rows = wrapped(docs).select(
         F.col("doc").dropFields("text").alias("doc"), F.col("doc.text").alias("text")
     )
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(predict, f"doc {kind}, evidence double, score double")
+    return rows.mapInArrow(predict, schema_with_doc(rows, "evidence double, score double"))
 
 
 def restore(docs: DataFrame, costs: np.ndarray) -> DataFrame:
@@ -403,5 +402,4 @@ def restore(docs: DataFrame, costs: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc"), column], names=["doc", "restored"])
 
     rows = wrapped(docs).withColumn("text", F.col("doc.text"))
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(rewrite, f"doc {kind}, restored string")
+    return rows.mapInArrow(rewrite, schema_with_doc(rows, "restored string"))
