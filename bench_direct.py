@@ -1,8 +1,8 @@
 """The same build stated directly, for comparison with bench.py.
 
 Lookups join all columns and fan out, duplicates are grouped away afterwards, and keys come
-from one global ``row_number``. Same output tables, same driver settings; no part of the package's
-operators is used. Prints one JSON line with the fastest pass of each step.
+from one global ``row_number``. Same output tables, same driver settings; no lookup, numbering
+or skew operator of the package is used. Prints one JSON line with the fastest pass of each step.
 """
 
 from __future__ import annotations

@@ -1,19 +1,43 @@
 """Table operators: dense numbering, null-safe lookups, skew-proof joins."""
 
-from inspectstar.operators.lookup import Lookup, lookup, reduced_star_lookup, star_lookup
-from inspectstar.operators.numbering import as_key, assign_key, row_number, running_total
-from inspectstar.operators.skew import Limits, hot_keys, spread_join
+from inspectstar.operators.lookup import (
+    Lookup,
+    lookup,
+    match_all,
+    reduced_star_lookup,
+    star_lookup,
+)
+from inspectstar.operators.numbering import (
+    as_key,
+    assign_key,
+    check_keys,
+    dense_running_total,
+    row_number,
+)
+from inspectstar.operators.skew import (
+    Limits,
+    group_pairs,
+    hot_keys,
+    join_groups,
+    null_safe,
+    spread_join,
+)
 
 __all__ = [
     "Limits",
     "Lookup",
     "as_key",
     "assign_key",
+    "check_keys",
+    "dense_running_total",
+    "group_pairs",
     "hot_keys",
+    "join_groups",
     "lookup",
+    "match_all",
+    "null_safe",
     "reduced_star_lookup",
     "row_number",
-    "running_total",
     "spread_join",
     "star_lookup",
 ]

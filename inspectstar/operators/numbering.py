@@ -22,6 +22,12 @@ from inspectstar.scratch import Scratch
 # within the partition in the lower 33.
 _POSITION_BITS = 33
 
+#: The largest ``int`` key.
+MOST_INT_KEYS = 2**31 - 1
+
+#: Keys of a block in ``dense_running_total``.
+BLOCK_KEYS = 1_000_000
+
 def _part() -> Column:
     return F.shiftright("__place", _POSITION_BITS)
 
@@ -48,24 +54,47 @@ def _with_offset(placed: DataFrame, amount: Column) -> DataFrame:
 
 def row_number(df: DataFrame, order: Sequence[str], name: str, scratch: Scratch) -> DataFrame:
     """Add ``name``: 1..n (long) in ascending ``order``, NULLs first."""
-    placed = _with_offset(_placed(df, order, scratch), F.count(F.lit(1)))
+    return _numbered(_placed(df, order, scratch), name)
+
+
+def _numbered(placed: DataFrame, name: str) -> DataFrame:
+    placed = _with_offset(placed, F.count(F.lit(1)))
     number = F.col("__offset") + _position() + F.lit(1)
     return placed.withColumn(name, number).drop("__place", "__part", "__offset")
 
 
-def running_total(
-    df: DataFrame, order: Sequence[str], amount: str, name: str, scratch: Scratch
+def dense_running_total(
+    df: DataFrame, group: str, key: str, amount: str, name: str, scratch: Scratch
 ) -> DataFrame:
-    """Add ``name``: the sum of ``amount`` over all rows that come earlier in ``order``."""
-    placed = _with_offset(_placed(df, order, scratch), F.sum(amount))
+    """Add ``name``: the sum of ``amount`` over all rows earlier in the order (group, key).
+
+    ``key`` is dense, so blocks of it hold about as many rows each and nothing need be sorted
+    or sampled to find them; groups are few.
+    """
+    part = F.struct(F.col(group), F.floor(F.col(key) / BLOCK_KEYS).alias("block"))
+    blocks = scratch.keep(df.withColumn("__part", part), "blocks")
+    totals = blocks.groupBy("__part").agg(F.sum(amount).alias("__total"))
+    # One row per block of a group: small, as above.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col("__part").alias("__block"),
+        F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"),
+    )
     earlier = (
-        Window.partitionBy("__part")
-        .orderBy("__place")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("__part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     )
     within = F.coalesce(F.sum(amount).over(earlier), F.lit(0))
-    total = placed.withColumn(name, F.col("__offset") + within)
-    return total.drop("__place", "__part", "__offset")
+    # Written, so that Spark broadcasts the offsets only if they are small.
+    offsets = scratch.keep(offsets, "offsets")
+    summed = blocks.withColumn("__within", within).join(offsets, F.col("__part") == F.col("__block"))
+    total = summed.withColumn(name, F.col("__offset") + F.col("__within"))
+    return total.drop("__part", "__block", "__offset", "__within")
+
+
+def check_keys(count: int, key_type: str) -> None:
+    """Refuse to number more rows than ``key_type`` holds, before anything is overwritten."""
+    if key_type == "int" and count > MOST_INT_KEYS:
+        raise ValueError(f"{count} rows are more than int keys can number: use bigint keys")
 
 
 def as_key(number: Column, key_type: str = "int") -> Column:
@@ -84,5 +113,7 @@ def assign_key(
     df: DataFrame, order: Sequence[str], name: str, scratch: Scratch, key_type: str = "int"
 ) -> DataFrame:
     """Add a dense surrogate key: 1..n in ascending ``order``, NULLs first."""
-    numbered = row_number(df, order, "__number", scratch)
+    placed = _placed(df, order, scratch)
+    check_keys(placed.count(), key_type)
+    numbered = _numbered(placed, "__number")
     return numbered.withColumn(name, as_key(F.col("__number"), key_type)).drop("__number")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -16,13 +17,15 @@ class Limits:
     """How much one task or one broadcast may be given.
 
     ``rows_per_task`` bounds the rows of one key in a lookup, ``pairs_per_task`` the output
-    of one task in a many-to-many join. They also keep the number of tasks reasonable: a
-    trillion output rows make about a hundred thousand.
+    of one task in a many-to-many join: about 128 MB of fact rows. Both grow where more
+    than ``hot_keys`` keys would exceed them, so the list of hot keys, which is broadcast,
+    has a fixed size whatever the data.
     """
 
     broadcast_bytes: int = 32 * 1024 * 1024
     rows_per_task: int = 2_000_000
-    pairs_per_task: int = 16_000_000
+    pairs_per_task: int = 1_000_000
+    hot_keys: int = 10_000
 
 
 def null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
@@ -30,12 +33,15 @@ def null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in pairs))
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+def hot_keys(
+    rows: DataFrame, keys: Sequence[str], rows_per_task: int, most: int = Limits.hot_keys
+) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows and the number of parts to cut each into.
 
-    At most ``total rows / rows_per_task`` keys can qualify, so the result is small enough
-    to broadcast whatever the data.
+    Of a larger table a task gets more rows: no more than ``most`` keys can qualify, so the
+    result can be broadcast. ``rows`` is a stored table, which is counted from its footers.
     """
+    rows_per_task = max(rows_per_task, -(-rows.count() // most))
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     parts = F.ceil(F.col("__rows") / rows_per_task).cast("int")
     hot = counted.where(F.col("__rows") > rows_per_task)
@@ -104,4 +110,57 @@ def spread_join(
     (cut_left, left_columns), (cut_right, right_columns) = sides
     same = (F.col(a) == F.col(b) for a, b in zip(left_columns, right_columns))
     joined = cut_left.join(cut_right, reduce(and_, same), "inner")
-    return joined.drop(*left_columns, *right_columns)
+    joined = joined.drop(*left_columns, *right_columns)
+    # Spark raises a small number of tasks to that of shuffle partitions; take it back.
+    return joined if tasks is None else joined.coalesce(tasks)
+
+
+def group_pairs(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """One row per key on both sides: ``left_rows`` and ``right_rows``."""
+    mine = left.groupBy(*on).agg(F.count(F.lit(1)).alias("left_rows"))
+    theirs = right.groupBy(*[F.col(r).alias(f"__key{i}") for i, r in enumerate(on.values())])
+    theirs = theirs.agg(F.count(F.lit(1)).alias("right_rows"))
+    keys = {k: f"__key{i}" for i, k in enumerate(on)}
+    return mine.join(theirs, null_safe(list(keys.items())), "inner").drop(*keys.values())
+
+
+def _pairs() -> Column:
+    return F.col("left_rows").cast("double") * F.col("right_rows")
+
+
+def count_pairs(groups: DataFrame) -> int:
+    return int(groups.agg(F.sum(_pairs())).first()[0] or 0)
+
+
+def hot_groups(
+    groups: DataFrame, on: Mapping[str, str], pairs: int, limits: Limits
+) -> DataFrame:
+    """Groups with more pairs than one task should emit, cut to cells of about that many."""
+    share = max(limits.pairs_per_task, -(-pairs // limits.hot_keys))
+    side = int(share**0.5)
+    return groups.where(_pairs() > share).select(
+        *on,
+        F.ceil(F.col("left_rows") / side).cast("int").alias("left_parts"),
+        F.ceil(F.col("right_rows") / side).cast("int").alias("right_parts"),
+    )
+
+
+def join_groups(
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str],
+    groups: DataFrame,
+    left_id: str,
+    right_id: str,
+    limits: Limits,
+) -> DataFrame:
+    """All pairs of rows with equal keys, NULL matching NULL; many to many.
+
+    ``groups`` is the stored result of ``group_pairs``, so the size of the output is known
+    beforehand. It alone sets the number of tasks, and hot groups are cut into cells.
+    """
+    pairs = count_pairs(groups)
+    shares = math.ceil(pairs / limits.pairs_per_task)
+    hot = hot_groups(groups, on, pairs, limits)
+    # Cells fall into tasks by hash: leave some room.
+    return spread_join(left, right, on, hot, left_id, right_id, tasks=max(1, 2 * shares))

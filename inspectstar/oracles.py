@@ -138,8 +138,7 @@ _J6_GRAIN = (
 VIOLATION_ROWS = f"""violation_rows as (
 select * from (select *,
  row_number() over (partition by {_J6_GRAIN} order by score nulls first,
-  grade_date nulls first, action nulls first) as pick,
- count(*) over (partition by {_J6_GRAIN}) as COPIES
+  grade_date nulls first, action nulls first) as pick
 from j6) where pick = 1)"""
 
 _VISIT_GRAIN = "inspection_date, camis, boro, zipcode, phone, cuisine_description, bin, bbl"
@@ -159,7 +158,17 @@ def _dim(part: str) -> str:
 
 
 _TO_INSPECTIONS = [*_INSPECTION_PARTS, J4, INSPECTION_ROWS, INSPECTIONS]
-_TO_VIOLATIONS = [*_TO_INSPECTIONS, *_VIOLATION_PARTS, J6, VIOLATION_ROWS]
+_TO_J6 = [*_TO_INSPECTIONS, *_VIOLATION_PARTS, J6]
+_TO_VIOLATIONS = [*_TO_J6, VIOLATION_ROWS]
+
+VIOLATIONS = """violations as (
+select cast(row_number() over (order by BOROUGH_SK nulls first,
+ INSPECTION_SK nulls first, ACTION_SK nulls first, CRITICAL_FLAG_SK nulls first,
+ GRADE_SK nulls first, INSPECTION_TYPE_SK nulls first, VIOLATION_CODE_SK nulls first)
+ as integer) as INSPECTION_VIOLATION_SK, INSPECTION_SK, INSPECTION_TYPE_SK, ACTION_SK,
+ CRITICAL_FLAG_SK, score as SCORE, GRADE_SK, VIOLATION_CODE_SK, ADDRESS_SK, BOROUGH_SK,
+ CUISINE_DESCRIPTION_SK, FOOD_PLACES_SK, INSCPECTION_DATE, PHONE, action as ACTION,
+ grade_date as GRADE_DATE from violation_rows)"""
 
 _TABLES = {
     "Dim_NYC_Food_Places": "food_places",
@@ -172,16 +181,50 @@ _TABLES = {
     "Dim_NYC_Inspection_Actions": "actions",
     "Dim_NYC_Violation_Codes": "violation_codes",
     "FCT_NYC_Food_Inspections": "inspections",
-    "FCT_NYC_FoodInspection_Violations": "violation_rows",
+    "FCT_NYC_FoodInspection_Violations": "violations",
 }
 
 
-def _counts(tables: list[str]) -> str:
-    return " union all ".join(
-        f"select '{t}' as table_name, count(*) as row_count from {_TABLES[t]}" for t in tables
+# Keys (the own one first) and texts of each table.
+_COLUMNS = {
+    "food_places": ("FOOD_PLACES_SK", "CAMIS DBA"),
+    "cuisine": ("CUISINE_DESCRIPTION_SK", "CUISINE_DESCRIPTION"),
+    "borough": ("BOROUGH_SK", "BOROUGH"),
+    "addresses": ("ADDRESS_SK", "BUILDING BBL BIN STREET ZIPCODE BOROUGH NTA"),
+    "critical_flag": ("CRITICAL_FLAG_SK", "CRITICAL_FLAG"),
+    "grades": ("GRADE_SK", "GRADE"),
+    "inspection_type": ("INSPECTION_TYPE_SK", "INSPECTION_TYPE"),
+    "actions": ("ACTION_SK", "ACTION"),
+    "violation_codes": ("VIOLATION_CODE_SK", "VIOLATION_CODE VIOLATION_DESCRIPTION"),
+    "inspections": (
+        "INSPECTION_SK FOOD_PLACES_SK BOROUGH_SK ADDRESS_SK CUISINE_DESCRIPTION_SK",
+        "INSCPECTION_DATE PHONE",
+    ),
+    "violations": (
+        "INSPECTION_VIOLATION_SK INSPECTION_SK INSPECTION_TYPE_SK ACTION_SK CRITICAL_FLAG_SK "
+        "GRADE_SK VIOLATION_CODE_SK ADDRESS_SK BOROUGH_SK CUISINE_DESCRIPTION_SK FOOD_PLACES_SK",
+        "SCORE INSCPECTION_DATE PHONE ACTION GRADE_DATE",
+    ),
+}
+
+
+def _summary(table: str, part: str) -> str:
+    keys, texts = (columns.split() for columns in _COLUMNS[part])
+    key = " + ".join(f"coalesce({k}, 0)::hugeint" for k in keys)
+    size = " + ".join(f"coalesce(strlen({t}), 0)::hugeint" for t in texts)
+    own = f"coalesce({keys[0]}, 0)::hugeint"
+    return (
+        f"select '{table}' as table_name, count(*) as row_count, "
+        f"cast(coalesce(sum({key}), 0) % 1000000000000000 as bigint) as key_sum, "
+        f"cast(coalesce(sum({own} * ({size})), 0) % 1000000000000000 as bigint) as key_text_sum "
+        f"from {part}"
     )
 
 
+def _summaries(tables: list[str]) -> str:
+    return " union all ".join(_summary(t, _TABLES[t]) for t in tables)
+
+
 _NINE = list(_TABLES)[:9]
 
 ORACLES: dict[str, str] = {
@@ -189,7 +232,7 @@ ORACLES: dict[str, str] = {
     "src_rows": _with([], "select * from stage"),
     "src_parquet_stage": _with([], "select * from stage"),
     "src_parquet_dim": _dim("violation_codes"),
-    "src_parquet_partitioned": _with(["addresses"], "select * from addresses"),
+    "src_parquet_partitioned": _dim("addresses"),
     "src_text_split": _with(
         [],
         "select parts[1] as field_1, parts[2] as field_2, parts[3] as field_3 from "
@@ -254,27 +297,12 @@ ORACLES: dict[str, str] = {
         "group by all",
     ),
     "join_fact_to_fact": _with(
-        _TO_VIOLATIONS,
+        _TO_J6,
         "select INSPECTION_SK, INSCPECTION_DATE, PHONE, VIOLATION_CODE_SK, ACTION_SK, "
-        "CRITICAL_FLAG_SK, GRADE_SK, INSPECTION_TYPE_SK, COPIES from violation_rows",
-    ),
-    "star_lookup_inspections": _with(
-        _INSPECTION_PARTS,
-        f"""select {_VISIT_GRAIN}, record_date, FOOD_PLACES_SK, BOROUGH_SK,
- min(ADDRESS_SK) as ADDRESS_SK, CUISINE_DESCRIPTION_SK, count(*) as ADDRESS_CANDIDATES
-from (select s.*, FOOD_PLACES_SK, BOROUGH_SK, ADDRESS_SK, CUISINE_DESCRIPTION_SK
- from (select *, row_number() over () as row_id from stage) s
- join food_places f on s.camis is not distinct from f.CAMIS
- join borough b on s.boro is not distinct from b.BOROUGH
- join addresses a on s.bin is not distinct from a.BIN and s.bbl is not distinct from a.BBL
-  and s.zipcode is not distinct from a.ZIPCODE
- join cuisine c on s.cuisine_description is not distinct from c.CUISINE_DESCRIPTION)
-group by {_VISIT_GRAIN}, record_date, row_id, FOOD_PLACES_SK, BOROUGH_SK,
- CUISINE_DESCRIPTION_SK""",
-    ),
-    "star_lookup_violations": _with(
-        _TO_VIOLATIONS, "select * exclude (pick) from violation_rows"
+        "CRITICAL_FLAG_SK, GRADE_SK, INSPECTION_TYPE_SK from j6",
     ),
+    "star_lookup_inspections": _with([*_INSPECTION_PARTS, J4], "select * from j4"),
+    "star_lookup_violations": _with(_TO_J6, "select * from j6"),
     "agg_distinct_single": _with([], "select distinct cuisine_description from stage"),
     "agg_distinct_composite": _with(
         [], "select distinct violation_code, violation_description from stage"
@@ -293,7 +321,7 @@ group by {_VISIT_GRAIN}, record_date, row_id, FOOD_PLACES_SK, BOROUGH_SK,
         [*_INSPECTION_PARTS, J4, INSPECTION_ROWS], "select * from inspection_rows"
     ),
     "agg_fact2_dedup": _with(
-        _TO_VIOLATIONS, "select * exclude (pick, COPIES) from violation_rows"
+        _TO_VIOLATIONS, "select * exclude (pick) from violation_rows"
     ),
     "win_row_number_single": _with(
         [],
@@ -349,18 +377,11 @@ group by {_VISIT_GRAIN}, record_date, row_id, FOOD_PLACES_SK, BOROUGH_SK,
     "dim_actions": _dim("actions"),
     "dim_violation_codes": _dim("violation_codes"),
     "fact_inspections": _with(_TO_INSPECTIONS, f"select *, {AUDIT} from inspections"),
-    "fact_violations": _with(
-        _TO_VIOLATIONS,
-        f"""select cast(row_number() over (order by BOROUGH_SK nulls first,
- INSPECTION_SK nulls first, ACTION_SK nulls first, CRITICAL_FLAG_SK nulls first,
- GRADE_SK nulls first, INSPECTION_TYPE_SK nulls first, VIOLATION_CODE_SK nulls first)
- as integer) as INSPECTION_VIOLATION_SK, INSPECTION_SK, INSPECTION_TYPE_SK, ACTION_SK,
- CRITICAL_FLAG_SK, score as SCORE, GRADE_SK, VIOLATION_CODE_SK, ADDRESS_SK, BOROUGH_SK,
- CUISINE_DESCRIPTION_SK, FOOD_PLACES_SK, INSCPECTION_DATE, PHONE, action as ACTION,
- grade_date as GRADE_DATE, {AUDIT} from violation_rows""",
-    ),
-    "job_dimensions": _with(list(DIMS), _counts(_NINE)),
+    "fact_violations": _with([*_TO_VIOLATIONS, VIOLATIONS], f"select *, {AUDIT} from violations"),
+    "job_dimensions": _with(list(DIMS), _summaries(_NINE)),
+    "job_inspections": _with(_TO_INSPECTIONS, f"select *, {AUDIT} from inspections"),
+    "job_violations": _with([*_TO_VIOLATIONS, VIOLATIONS], f"select *, {AUDIT} from violations"),
     "job_full_build": _with(
-        [*_TO_VIOLATIONS], _counts(list(_TABLES))
+        [*dict.fromkeys([*list(DIMS), *_TO_VIOLATIONS, VIOLATIONS])], _summaries(list(_TABLES))
     ),
 }

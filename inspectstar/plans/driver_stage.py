@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inspectstar.schema import STAGE_COLUMNS
-from inspectstar.sources import spread
 
 
 def _text(column: Column) -> Column:
@@ -46,7 +45,7 @@ def derive_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     rows = (
-        spread(table("lineitem"))
+        table("lineitem")
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(place, F.col("o_custkey") == F.col("c_custkey"))

@@ -89,6 +89,12 @@ def inspections_schema(key_type: str = "int") -> str:
     return ", ".join(f"{c} {t}" for c, t in types.items()) + ", " + _AUDIT_SCHEMA
 
 
+def violations_schema(key_type: str = "int") -> str:
+    """The schema of the stored violation fact, its partition column included."""
+    types = {c: key_type if c.endswith("_SK") else "string" for c in names.VIOLATION_COLUMNS}
+    return ", ".join(f"{c} {t}" for c, t in types.items()) + ", " + _AUDIT_SCHEMA
+
+
 def read_dimensions(
     spark: SparkSession, base: str, tables: Iterable[str], key_type: str = "int"
 ) -> dict[str, DataFrame]:
@@ -148,15 +154,55 @@ def build_all(
     write_violations(spark, stage, dimension_base, fact_base, options)
 
 
-def row_counts(spark: SparkSession, bases: Mapping[str, str]) -> DataFrame:
-    """One row per stored table (name -> base folder): its row count, from file footers."""
-    counts = [
-        spark.read.parquet(table_path(base, table)).agg(
-            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count")
-        )
-        for table, base in bases.items()
+#: Sums of a summary are taken modulo this.
+SUMMARY_MODULUS = 10**15
+
+
+def _summary(df: DataFrame, table: str) -> DataFrame:
+    keys = [c for c in df.columns if c.endswith("_SK")]
+    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+
+    def total(values: list[Column]) -> Column:
+        return reduce(lambda a, b: a + b, values, F.lit(0).cast("decimal(38,0)"))
+
+    key = total([F.coalesce(F.col(c), F.lit(0)).cast("decimal(20,0)") for c in keys])
+    size = total([F.coalesce(F.octet_length(c), F.lit(0)).cast("decimal(20,0)") for c in texts])
+    own = F.coalesce(F.col(keys[0]), F.lit(0)).cast("decimal(20,0)")
+
+    def summed(value: Column, name: str) -> Column:
+        rest = F.coalesce(F.sum(value % SUMMARY_MODULUS), F.lit(0)) % SUMMARY_MODULUS
+        return rest.cast("long").alias(name)
+
+    return df.agg(
+        F.lit(table).alias("table_name"),
+        F.count(F.lit(1)).alias("row_count"),
+        summed(key, "key_sum"),
+        summed((own * size).cast("decimal(38,0)"), "key_text_sum"),
+    )
+
+
+def table_summaries(spark: SparkSession, schemas: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One row per stored table (name -> base folder, schema): rows, and what they hold.
+
+    ``key_sum`` adds up all keys; ``key_text_sum`` ties the first key of each row to the
+    length of its texts.
+    """
+    summaries = [
+        _summary(read_table(spark, base, table, schema), table)
+        for table, (base, schema) in schemas.items()
     ]
-    return reduce(DataFrame.unionAll, counts)
+    return reduce(DataFrame.unionAll, summaries)
+
+
+def stored_schemas(
+    dimension_base: str, fact_base: str | None = None, key_type: str = "int"
+) -> dict[str, tuple[str, str]]:
+    """Base folder and schema of the tables of a build; without ``fact_base`` the dimensions."""
+    tables = {t: (dimension_base, dimension_schema(t, key_type)) for t in SPECS}
+    if fact_base is not None:
+        tables[names.INSPECTIONS] = (fact_base, inspections_schema(key_type))
+        tables[names.VIOLATIONS] = (fact_base, violations_schema(key_type))
+    return tables
 
 
 def run(
@@ -168,9 +214,8 @@ def run(
     options: BuildOptions = BuildOptions(),
     partitions: int | None = None,
 ) -> DataFrame:
-    """Everything from exported records to facts; returns the row count of each table."""
+    """Everything from exported records to facts; returns a summary of each table."""
     land_stage(spark, records_path, stage_path, partitions)
     build_all(spark, read_stage(spark, stage_path), dimension_base, fact_base, options)
-    tables = {spec.table: dimension_base for spec in DIMENSIONS}
-    tables |= {names.INSPECTIONS: fact_base, names.VIOLATIONS: fact_base}
-    return row_counts(spark, tables)
+    schemas = stored_schemas(dimension_base, fact_base, options.key_type)
+    return table_summaries(spark, schemas)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inspectstar import schema as names
 from inspectstar.functions import audit_columns, first_non_null, first_row, try_casts
-from inspectstar.operators import assign_key, row_number, star_lookup
+from inspectstar.operators import assign_key, match_all, null_safe, row_number, star_lookup
 from inspectstar.plans import jobs
 from inspectstar.plans.dimensions import SPECS, build_dimension, dimension_lookup, members
 from inspectstar.plans.driver_stage import derive_stage
@@ -17,16 +17,15 @@ from inspectstar.plans.inspections import (
     INSPECTION_DIMENSIONS,
     INSPECTION_GRAIN,
     address_lookup,
+    address_matches,
     build_inspections,
-    inspection_lookups,
     inspection_rows,
 )
 from inspectstar.plans.violations import (
     VIOLATION_DIMENSIONS,
+    all_violations,
     build_violations,
-    match_visits,
     violation_lookups,
-    violation_rows,
 )
 from inspectstar.scratch import Scratch
 from inspectstar.sinks import overwrite, write_stage
@@ -97,9 +96,7 @@ def src_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = Scratch(spark).path("dimensions")
     options = jobs.BuildOptions(as_of=fixed_moment())
     jobs.write_dimensions(spark, derive_stage(spark, sf_dir), base, options, [names.ADDRESSES])
-    schema = jobs.dimension_schema(names.ADDRESSES)
-    columns = SPECS[names.ADDRESSES].output_columns()
-    return read_table(spark, base, names.ADDRESSES, schema).select(*columns)
+    return read_table(spark, base, names.ADDRESSES, jobs.dimension_schema(names.ADDRESSES))
 
 
 def src_text_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +187,7 @@ def pred_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
         (a == b).alias("is_equal"),
         a.isNull().alias("is_missing"),
         ((a == b) | (a.isNull() & b.isNull())).alias("is_equal_or_both_missing"),
-        a.eqNullSafe(b).alias("is_same"),
+        null_safe([("bin", "bbl")]).alias("is_same"),
     )
 
 
@@ -226,7 +223,9 @@ def join_lookup_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     stage = _landed(spark, sf_dir, scratch)
     dims = _dimensions(spark, stage, [names.ADDRESSES], scratch)
-    address = address_lookup(dims[names.ADDRESSES], ("ADDRESS_SK", "ADDRESS_CANDIDATES"))
+    address = address_lookup(
+        dims[names.ADDRESSES], scratch, ("ADDRESS_SK", "ADDRESS_CANDIDATES")
+    )
     return star_lookup(stage.select(*INSPECTION_GRAIN).distinct(), [address], scratch)
 
 
@@ -238,39 +237,35 @@ def _inspections(
     return scratch.keep(fact, "inspections")
 
 
-def _violation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     stage = _landed(spark, sf_dir, scratch)
     dims = _dimensions(spark, stage, SPECS, scratch)
-    inspections = _inspections(spark, stage, dims, scratch)
-    rows = violation_rows(stage, dims, scratch)
-    return match_visits(rows, inspections.select(*names.INSPECTION_COLUMNS), dims, scratch)
+    return all_violations(stage, dims, _inspections(spark, stage, dims, scratch), scratch)
 
 
 def join_fact_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations met with every inspection of the same date and phone.
-
-    Equal violations of a group meet an inspection as one row; COPIES counts them.
-    """
-    return _violation_pairs(spark, sf_dir).select(
+    """Every staging row met with every inspection of the same date and phone."""
+    return _all_violations(spark, sf_dir).select(
         "INSPECTION_SK", "INSCPECTION_DATE", "PHONE", "VIOLATION_CODE_SK", "ACTION_SK",
-        "CRITICAL_FLAG_SK", "GRADE_SK", "INSPECTION_TYPE_SK", "COPIES",
+        "CRITICAL_FLAG_SK", "GRADE_SK", "INSPECTION_TYPE_SK",
     )
 
 
 def star_lookup_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every staging row with a known place and its four keys."""
+    """Every staging row with a known place, its keys and every address that qualifies."""
     scratch = Scratch(spark)
     stage = _landed(spark, sf_dir, scratch)
     dims = _dimensions(spark, stage, INSPECTION_DIMENSIONS, scratch)
-    rows = stage.select(*INSPECTION_GRAIN, "record_date").where(F.col("camis").isNotNull())
-    specs = inspection_lookups(dims, ("ADDRESS_SK", "ADDRESS_CANDIDATES"))
-    return star_lookup(rows, specs, scratch)
+    rows = stage.select(*INSPECTION_GRAIN).where(F.col("camis").isNotNull())
+    single = (names.FOOD_PLACES, names.BOROUGH, names.CUISINE)
+    rows = star_lookup(rows, [dimension_lookup(t, dims[t]) for t in single], scratch)
+    return match_all(rows, address_matches(dims[names.ADDRESSES]), "ADDRESS_SK", scratch)
 
 
 def star_lookup_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five-key violation rows joined to the inspection fact, all columns."""
-    return _violation_pairs(spark, sf_dir).withColumnRenamed("ACTION", "action")
+    """Every staging row's keys, score and grade date joined to the inspection fact."""
+    return _all_violations(spark, sf_dir)
 
 
 # Aggregations
@@ -306,12 +301,10 @@ def agg_dict_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def agg_fact2_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _violation_pairs(spark, sf_dir).select(
-        "BOROUGH_SK", "INSPECTION_SK", "PHONE", "ACTION_SK", "CRITICAL_FLAG_SK", "GRADE_SK",
-        "INSPECTION_TYPE_SK", "VIOLATION_CODE_SK", "INSCPECTION_DATE", "FOOD_PLACES_SK",
-        "ADDRESS_SK", "CUISINE_DESCRIPTION_SK", "score", "grade_date",
-        F.col("ACTION").alias("action"),
-    )
+    """The violation fact without its number: one row per pair in the fact's grain."""
+    lower = {"SCORE": "score", "GRADE_DATE": "grade_date", "ACTION": "action"}
+    fact = fact_violations(spark, sf_dir).drop("INSPECTION_VIOLATION_SK", *names.AUDIT_COLUMNS)
+    return fact.withColumnsRenamed(lower)
 
 
 # Numbering, order
@@ -399,17 +392,42 @@ def fact_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land exported records, write the nine dimensions; one row per table."""
+    """Land exported records, write the nine dimensions; a summary of each table."""
     scratch = Scratch(spark)
     records, stage, base = (scratch.path(p) for p in ("records", "stage", "dimensions"))
     derive_stage(spark, sf_dir).write.json(records)
     jobs.land_stage(spark, records, stage)
     jobs.write_dimensions(spark, read_stage(spark, stage), base)
-    return jobs.row_counts(spark, dict.fromkeys(SPECS, base))
+    return jobs.table_summaries(spark, jobs.stored_schemas(base))
+
+
+def _stored_facts(spark: SparkSession, sf_dir: str, violations: bool) -> str:
+    """The base folder of facts written by the jobs."""
+    scratch = Scratch(spark)
+    stage = _landed(spark, sf_dir, scratch)
+    dims, facts = scratch.path("dimensions"), scratch.path("facts")
+    options = jobs.BuildOptions(as_of=fixed_moment())
+    jobs.write_dimensions(spark, stage, dims, options)
+    jobs.write_inspections(spark, stage, dims, facts, options)
+    if violations:
+        jobs.write_violations(spark, stage, dims, facts, options)
+    return facts
+
+
+def job_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored, partitioned inspection fact, read back."""
+    facts = _stored_facts(spark, sf_dir, violations=False)
+    return read_table(spark, facts, names.INSPECTIONS, jobs.inspections_schema())
+
+
+def job_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored, partitioned violation fact, built on the stored inspection fact."""
+    facts = _stored_facts(spark, sf_dir, violations=True)
+    return read_table(spark, facts, names.VIOLATIONS, jobs.violations_schema())
 
 
 def job_full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records to facts; one row per table."""
+    """Records to facts; a summary of each table."""
     scratch = Scratch(spark)
     records, stage, dims, facts = (
         scratch.path(p) for p in ("records", "stage", "dimensions", "facts")
@@ -470,5 +488,7 @@ QUERIES: dict[str, Query] = {
     "fact_inspections": fact_inspections,
     "fact_violations": fact_violations,
     "job_dimensions": job_dimensions,
+    "job_inspections": job_inspections,
+    "job_violations": job_violations,
     "job_full_build": job_full_build,
 }

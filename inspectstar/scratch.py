@@ -10,39 +10,39 @@ from __future__ import annotations
 import atexit
 import contextlib
 import itertools
-import tempfile
 import uuid
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it."""
+    """The folder every executor can reach, as the session names it, else one in the default
+    file system."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = fs.FileSystem.get(hadoop)
+    alone = spark.sparkContext.master.startswith("local")
+    if files.getUri().getScheme() == "file" and not alone:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    # A single-machine session without a setting (tests): one folder per application.
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="inspectstar-")
-    return _local_roots[app]
+    return files.makeQualified(fs.Path("/tmp/inspectstar")).toString()
 
 
 class Scratch:
     """A private folder holding the intermediate tables of one build.
 
     The folder is deleted when the application ends, or at the end of a ``with`` block;
-    frames that read from it must be consumed before that.
+    frames that read from it must be consumed before that. Its name holds the application's
+    id: what a crash leaves behind can be told from the folders of running applications.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/inspectstar-{uuid.uuid4().hex}"
+        app = spark.sparkContext.applicationId
+        self.root = f"{shared_folder(spark)}/inspectstar-{app}-{uuid.uuid4().hex}"
         self._ids = itertools.count()
         self._hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         self._paths = spark.sparkContext._jvm.org.apache.hadoop.fs

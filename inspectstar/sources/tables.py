@@ -26,11 +26,3 @@ def read_table(
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STAGE_SCHEMA).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a scan of fewer splits than there are cores; leave larger scans alone.
-
-    Only a small table has so few splits, so this never shuffles a large one.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

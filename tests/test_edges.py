@@ -144,6 +144,10 @@ def test_malformed_records_fail(spark, tmp_path):
     lines = spark.createDataFrame([('{"camis": ',)], "record string")
     with pytest.raises(Exception, match="[Mm]alformed"):
         parse_records(lines, "record").collect()
+    for missing in (None, "", "  "):
+        lines = spark.createDataFrame([('{"camis": "1"}',), (missing,)], "record string")
+        with pytest.raises(Exception, match="NULL or empty"):
+            parse_records(lines, "record").collect()
 
 
 def test_short_lines(spark, tmp_path):

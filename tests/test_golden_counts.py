@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from inspectstar import schema as names
 from inspectstar.plans import jobs
-from inspectstar.plans.dimensions import SPECS
+from inspectstar.plans.dimensions import SPECS, dimension_lookup
 from inspectstar.plans.driver_stage import derive_stage
-from inspectstar.plans.inspections import inspection_lookups
-from inspectstar.plans.violations import VIOLATION_DIMENSIONS, match_visits, violation_rows
-from inspectstar.operators import star_lookup
+from inspectstar.plans.inspections import address_matches
+from inspectstar.plans.violations import all_violations
+from inspectstar.operators import match_all, star_lookup
 from inspectstar.sinks import write_stage
 from inspectstar.sources import read_stage
 from tests.conftest import TESTDATA
@@ -44,9 +43,8 @@ def test_counts(spark, scratch, position, scale):
     stage = read_stage(spark, path)
     jobs.build_all(spark, stage, dims_base, facts_base)
 
-    bases = dict.fromkeys(SPECS, dims_base)
-    bases |= {names.INSPECTIONS: facts_base, names.VIOLATIONS: facts_base}
-    got = {r.table_name: r.row_count for r in jobs.row_counts(spark, bases).collect()}
+    summaries = jobs.table_summaries(spark, jobs.stored_schemas(dims_base, facts_base))
+    got = {r.table_name: r.row_count for r in summaries.collect()}
 
     dims = jobs.read_dimensions(spark, dims_base, SPECS)
     addresses = dims[names.ADDRESSES]
@@ -55,18 +53,14 @@ def test_counts(spark, scratch, position, scale):
     got["places without name"] = dims[names.FOOD_PLACES].where("DBA is null").count()
     got["distinct bin, bbl, zipcode"] = addresses.select("BIN", "BBL", "ZIPCODE").distinct().count()
 
-    # The reduced star joins stand for all joined rows through their multiplicities.
-    columns = ["camis", "boro", "bin", "bbl", "zipcode", "cuisine_description"]
-    resolved = star_lookup(
-        stage.select(*columns), inspection_lookups(dims, ("ADDRESS_CANDIDATES",)), scratch
-    )
-    got["inspection star join"] = resolved.agg(F.sum("ADDRESS_CANDIDATES")).first()[0]
+    rows = stage.select("camis", "boro", "bin", "bbl", "zipcode", "cuisine_description")
+    single = (names.FOOD_PLACES, names.BOROUGH, names.CUISINE)
+    rows = star_lookup(rows, [dimension_lookup(t, dims[t]) for t in single], scratch)
+    joined = match_all(rows, address_matches(addresses), "ADDRESS_SK", scratch)
+    got["inspection star join"] = joined.count()
     inspections = spark.read.schema(jobs.inspections_schema()).parquet(
         f"{facts_base}/{names.INSPECTIONS}"
     )
-    rows = violation_rows(stage, {t: dims[t] for t in VIOLATION_DIMENSIONS}, scratch)
-    inspections = inspections.select("INSPECTION_SK", "INSCPECTION_DATE", "PHONE")
-    pairs = match_visits(rows, inspections, dims, scratch)
-    got["violation star join"] = pairs.agg(F.sum("COPIES")).first()[0]
+    got["violation star join"] = all_violations(stage, dims, inspections, scratch).count()
 
     assert got == {name: sizes[position] for name, sizes in SIZES.items()}

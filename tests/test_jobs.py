@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from inspectstar import schema as names
 from inspectstar.__main__ import JOBS, main
+from inspectstar.operators import Limits, numbering
 from inspectstar.plans import jobs
 from inspectstar.plans.dimensions import SPECS
 from inspectstar.scratch import Scratch, shared_folder
-from inspectstar.sources import read_stage, read_table, spread
+from inspectstar.sources import read_stage, read_table
 
 
 def _tables(spark, root):
@@ -95,24 +96,21 @@ def test_jobs_leave_no_scratch_behind(spark, small_stage, tmp_path):
     assert set(os.listdir(folder)) <= before
 
 
-def _session(master, folder=None, checkpoint_dir=None):
-    """Just enough of a session to ask for its shared folder."""
-    context = SimpleNamespace(
-        master=master, applicationId="app-1", getCheckpointDir=lambda: checkpoint_dir
-    )
-    settings = {} if folder is None else {"spark.checkpoint.dir": folder}
-    return SimpleNamespace(conf=settings, sparkContext=context)
-
+def test_shared_folder_follows_the_session(spark):
+    def session(folder=None, checkpoint_dir=None, master="yarn"):
+        """Just enough of a session to ask for its shared folder."""
+        real = spark.sparkContext
+        context = SimpleNamespace(
+            master=master, getCheckpointDir=lambda: checkpoint_dir, _jsc=real._jsc, _jvm=real._jvm
+        )
+        settings = {} if folder is None else {"spark.checkpoint.dir": folder}
+        return SimpleNamespace(conf=settings, sparkContext=context)
 
-def test_shared_folder_follows_the_session():
-    assert shared_folder(_session("yarn", "hdfs:/shared/")) == "hdfs:/shared"
-    assert shared_folder(_session("yarn", None, "hdfs:/set-by-context")) == "hdfs:/set-by-context"
+    assert shared_folder(session("hdfs:/shared/")) == "hdfs:/shared"
+    assert shared_folder(session(None, "hdfs:/set-by-context")) == "hdfs:/set-by-context"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(_session("yarn"))
-    local = shared_folder(_session("local[2]"))
-    assert os.path.isdir(local)
-    assert shared_folder(_session("local[2]")) == local
-    os.rmdir(local)
+        shared_folder(session())  # the default file system is a local one
+    assert shared_folder(session(master="local[2]")) == "file:/tmp/inspectstar"
 
 
 def test_scratch_folder_lives_as_long_as_its_block(spark):
@@ -128,11 +126,45 @@ def test_failed_dimension_fails_the_job(spark, small_stage, tmp_path):
         jobs.write_dimensions(spark, small_stage.drop("cuisine_description"), str(tmp_path))
 
 
-def test_spread_leaves_larger_scans_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(100, numPartitions=cores + 3)
-    assert spread(wide) is wide
+def test_files_follow_the_output_not_the_cluster(spark, small_stage, tmp_path):
+    """The number of join tasks, hence of files, is that of the rows."""
+    dims, facts = f"{tmp_path}/dims", f"{tmp_path}/facts"
+    jobs.write_dimensions(spark, small_stage, dims)
+    files = []
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for count in (partitions, "400"):
+        spark.conf.set("spark.sql.shuffle.partitions", count)
+        for limit in (1_000_000, 10_000):
+            options = jobs.BuildOptions(Limits(pairs_per_task=limit))
+            jobs.write_inspections(spark, small_stage, dims, facts, options)
+            jobs.write_violations(spark, small_stage, dims, facts, options)
+            folder = f"{facts}/{names.VIOLATIONS}"
+            files.append(sum(f.endswith(".parquet") for _, _, x in os.walk(folder) for f in x))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert files[:2] == files[2:]
+    assert max(files) <= 5 * 4  # five boroughs, 19,878 pairs
+
+
+def test_int_keys_fail_before_the_old_table_goes(spark, small_stage, tmp_path, monkeypatch):
+    dims, facts = f"{tmp_path}/dims", f"{tmp_path}/facts"
+    jobs.build_all(spark, small_stage, dims, facts)
+    monkeypatch.setattr(numbering, "MOST_INT_KEYS", 10_000)
+    with pytest.raises(ValueError, match="bigint"):
+        jobs.write_violations(spark, small_stage, dims, facts)
+    monkeypatch.setattr(numbering, "MOST_INT_KEYS", 1_000)
+    with pytest.raises(ValueError, match="bigint"):
+        jobs.write_inspections(spark, small_stage, dims, facts)
+    assert read_table(spark, facts, names.VIOLATIONS).count() == 19_878
+    assert read_table(spark, facts, names.INSPECTIONS).count() == 4_180
+
+
+def test_summaries_notice_a_shifted_key(spark, small_stage, tmp_path):
+    jobs.write_dimensions(spark, small_stage, str(tmp_path), tables=[names.ACTIONS])
+    table = read_table(spark, str(tmp_path), names.ACTIONS)
+    sums = jobs._summary(table, "t").first()
+    shifted = jobs._summary(table.withColumn("ACTION_SK", F.col("ACTION_SK") + 1), "t").first()
+    assert sums.row_count == shifted.row_count
+    assert sums.key_sum != shifted.key_sum and sums.key_text_sum != shifted.key_text_sum
 
 
 @pytest.mark.parametrize("one_by_one", [False, True])

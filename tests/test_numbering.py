@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from inspectstar.operators import as_key, assign_key, row_number, running_total
+from inspectstar.operators import as_key, assign_key, dense_running_total, numbering, row_number
 from inspectstar.scratch import Scratch
 from tests.conftest import TESTDATA, tuples
 
@@ -44,12 +44,16 @@ def test_row_number_equals_window(orders, scratch, partitions, count):
 
 
 @pytest.mark.parametrize("count", [1, 7, 64])
-def test_running_total_equals_window(orders, scratch, partitions, count):
+def test_running_total_equals_window(orders, scratch, partitions, count, monkeypatch):
     partitions(count)
-    weighted = orders.withColumn("w", F.col("o_orderkey") % 5)
-    earlier = Window.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    monkeypatch.setattr(numbering, "BLOCK_KEYS", 700)
+    numbered = row_number(orders, ORDER, "n", scratch)
+    group = F.nullif("o_orderstatus", F.lit("P")).alias("g")
+    weighted = numbered.select(group, "n", (F.col("o_orderkey") % 5).alias("w"))
+    order = [F.col("g").asc_nulls_first(), "n"]
+    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     want = weighted.withColumn("t", F.coalesce(F.sum("w").over(earlier), F.lit(0)))
-    got = running_total(weighted, ORDER, "w", "t", scratch)
+    got = dense_running_total(weighted, "g", "n", "w", "t", scratch)
     assert got.exceptAll(want).isEmpty()
     assert got.count() == want.count()
 

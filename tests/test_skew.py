@@ -10,11 +10,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from inspectstar import schema as names
-from inspectstar.operators import Limits, Lookup, hot_keys, spread_join, star_lookup
+from inspectstar.operators import Limits, Lookup, hot_keys, match_all, spread_join, star_lookup
 from inspectstar.operators.skew import _cells
 from inspectstar.plans.dimensions import DIMENSIONS, build_dimension
-from inspectstar.plans.inspections import build_inspections, inspection_lookups
-from inspectstar.plans.violations import build_violations, match_visits, violation_rows
+from inspectstar.plans.inspections import (
+    address_matches,
+    build_inspections,
+    inspection_lookups,
+)
+from inspectstar.plans.violations import all_violations, build_violations
 from inspectstar.scratch import Scratch
 from tests.conftest import TINY, tuples
 
@@ -47,6 +51,13 @@ def test_hot_keys(spark):
     assert tuples(hot_keys(rows, ["k"], 2)) == [(None, 4, 1), ("a", 2, 1)]
 
 
+def test_the_list_of_hot_keys_is_bounded(spark):
+    """With more rows a key needs more of them to be hot."""
+    rows = spark.range(10_000).select((F.col("id") % 1000).alias("k"))
+    assert hot_keys(rows, ["k"], 2, most=10).count() == 0
+    assert hot_keys(rows, ["k"], 2, most=100_000).count() == 1000
+
+
 def test_cells_hold_an_even_share(spark):
     """A row of a hot key takes one part of its own side and every part of the other."""
     rows = spark.range(10_000).select("id", F.lit("hot").alias("k"))
@@ -77,15 +88,16 @@ def _all_tables(spark, stage, limits):
     inspections = scratch.keep(build_inspections(stage, dims, scratch, limits), "inspections")
     violations = build_violations(stage, dims, inspections, scratch, limits)
     rows = stage.select("camis", "boro", "bin", "bbl", "zipcode", "cuisine_description")
-    resolved = star_lookup(rows, inspection_lookups(dims), scratch, limits)
-    violation = violation_rows(stage, dims, scratch, limits)
-    visits = inspections.select("INSPECTION_SK", "INSCPECTION_DATE", "PHONE")
-    pairs = match_visits(violation, visits, dims, scratch, limits)
+    resolved = star_lookup(rows, inspection_lookups(dims, scratch), scratch, limits)
+    pairs = all_violations(stage, dims, inspections, scratch, limits)
+    places = stage.select("camis", "bin", "bbl", "zipcode")
+    addresses = match_all(places, address_matches(dims[names.ADDRESSES]), "ADDRESS_SK", scratch, limits)
     return [
         inspections.drop(*names.AUDIT_COLUMNS),
         violations.drop(*names.AUDIT_COLUMNS),
         resolved,
         pairs,
+        addresses,
     ]
 
 
