@@ -32,10 +32,13 @@ from pyspark.sql import functions as F
 
 from inspectstar.llm.common import schema_with_doc, wrapped
 from inspectstar.llm.words import Words, runs, slices, within
+from inspectstar.operators import row_number
 from inspectstar.scratch import Scratch
 
 WIDTH = 20
 SEED = 5
+#: Of an occurrence's number the bits for its position; the others number the document.
+_PLACE_BITS = 27
 
 
 def _chosen(hashes: np.ndarray, choices: int) -> np.ndarray:
@@ -105,19 +108,18 @@ def _seed_rows(width: int):
 def _window_rows(width: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.drop_columns(["text", "seeds"])
+            number = batch.column("number").to_numpy()
             for piece in slices(batch.column("text")):
                 windows = _Windows(piece.words(), width)
                 start = windows.start[windows.marked(batch.column("seeds"))[windows.seed]]
                 owner = windows.owner(start)
                 hashes = runs(windows.hashes, width)[start] if len(start) else windows.hashes[:0]
+                pos = start - windows.words.offset[owner]
+                if len(pos) and pos.max() >> _PLACE_BITS:
+                    raise ValueError(f"a text of more than {1 << _PLACE_BITS} words")
+                place = number[owner + piece.first] << _PLACE_BITS | pos
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes.view(np.int64)),
-                        *keys.take(pa.array(owner + piece.first)).columns,
-                        pa.array((start - windows.words.offset[owner]).astype(np.int32)),
-                    ],
-                    names=["window", *keys.schema.names, "pos"],
+                    [pa.array(hashes.view(np.int64)), pa.array(place)], names=["window", "place"]
                 )
 
     return find
@@ -211,7 +213,6 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, width: int = WIDTH) -> Dat
     by_document = placed.groupBy("doc_id", "tag").agg(
         F.array_distinct(F.collect_list("pos")).alias("seeds")
     )
-    by_document = scratch.keep(by_document, "seeds-by-document")
 
     def joined(rows: DataFrame, lists: DataFrame, how: str) -> DataFrame:
         lists = lists.select(
@@ -221,11 +222,17 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, width: int = WIDTH) -> Dat
         same = rows["doc_id"].eqNullSafe(lists["list id"]) & (rows["tag"] == lists["list tag"])
         return rows.join(lists, same, how).drop("list id", "list tag")
 
-    windows = joined(texts, by_document, "inner").dropDuplicates(["doc_id", "tag"])
-    windows = windows.mapInArrow(_window_rows(width), f"window long, {key_kind}, pos int")
-    firsts = windows.groupBy("window").agg(F.min(F.struct("doc_id", "tag", "pos")).alias("first"))
-    firsts = firsts.select("first.*").groupBy("doc_id", "tag")
-    firsts = scratch.keep(firsts.agg(F.collect_list("pos").alias("firsts")), "first-windows")
+    # Documents in order, so that an occurrence is one number.
+    by_document = scratch.keep(
+        row_number(by_document, ["doc_id", "tag"], "number", scratch), "numbered-documents"
+    )
+    windows = joined(texts, by_document, "inner").drop("doc_id", "tag")
+    windows = windows.mapInArrow(_window_rows(width), "window long, place long")
+    firsts = windows.groupBy("window").agg(F.min("place").alias("place"))
+    firsts = firsts.groupBy(F.shiftright("place", _PLACE_BITS).alias("list number")).agg(
+        F.collect_list(F.col("place").bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")).alias("firsts")
+    )
+    firsts = scratch.keep(firsts, "first-windows")
 
     rows = wrapped(docs).select(
         F.col("doc.doc_id").alias("doc_id"),
@@ -233,8 +240,8 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, width: int = WIDTH) -> Dat
         F.col("doc").dropFields("text").alias("doc"),
         F.col("doc.text").alias("text"),
     )
-    lists = joined(by_document, firsts, "left")
-    rows = joined(rows, lists, "left")
+    lists = by_document.join(firsts, F.col("number") == F.col("list number"), "left")
+    rows = joined(rows, lists.drop("number", "list number"), "left")
     columns = (
         "n_words long, n_removed long, repeats array<struct<start:int,end:int>>, kept string"
     )
