@@ -354,7 +354,8 @@ def join(
     )
     members = scratch.keep(members, "members")
     same = texts["doc_id"].eqNullSafe(members["head id"]) & (texts["tag"] == members["head tag"])
-    held = texts.join(members, same).dropDuplicates(["set_key"])
+    # The members grow with the corpus: texts and members are shuffled at every size.
+    held = texts.join(members.hint("merge"), same).dropDuplicates(["set_key"])
     blocks = _in_blocks(held, "n").select(*_PAIR, "block", "set_key", "copies", "text")
     checked = (
         blocks.repartition(*_PAIR)
@@ -413,8 +414,10 @@ def deduplicate(docs: DataFrame, scratch: Scratch) -> DataFrame:
     )
     heads = scratch.keep(heads.distinct(), "copies")
     same = docs["doc_id"].eqNullSafe(heads["copy id"]) & (F.hash(docs["text"]) == heads["copy tag"])
-    rest = docs.join(heads.where("not `is head`"), same, "left_anti")
+    # The list grows with the corpus: it is shuffled at every size, as the documents are.
+    marked = docs.join(heads.hint("merge"), same, "left")
+    kept = marked.where(F.coalesce(heads["is head"], F.lit(True)))
     # Identical rows of a head are copies of each other as well.
-    alone = rest.join(heads, same, "left_anti")
-    first = rest.join(heads, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return alone.unionByName(first)
+    alone = kept.where(heads["copy tag"].isNull()).select(*[docs[f"`{c}`"] for c in docs.columns])
+    first = kept.where(heads["copy tag"].isNotNull()).dropDuplicates(["copy id", "copy tag"])
+    return alone.unionByName(first.select(*[docs[f"`{c}`"] for c in docs.columns]))
