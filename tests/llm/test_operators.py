@@ -19,7 +19,7 @@ from inspectstar.llm import (
     repeats,
     toxicity,
 )
-from tests.llm.conftest import SCHEMA, odd_rows, prose, row
+from tests.llm.conftest import odd_rows, prose
 
 N = len(odd_rows())
 
@@ -78,20 +78,13 @@ def test_lm_without_training_rows_is_the_base(frame, scratch):
     assert scored[0].score == 0 and scored[0].n_known == 0 and scored[0].train_tokens == 0
 
 
-def test_lm_probabilities_sum_to_one(frame, scratch):
-    """In one context, all words of the vocabulary and one unknown."""
+def test_lm_probabilities_of_texts_sum_to_at_most_one(frame, scratch):
+    """Texts of no word or one: disjoint events, the unknown word among them."""
     learned = ["ab ab ab cd ef", "ab cd gh", "cd ab ef ef"]
-    asked = ["ab", "cd", "ef", "gh", "never", ""]
-    docs = frame(learned + asked)
+    docs = frame([*learned, "ab", "cd", "ef", "gh", "never", ""])
     scored = lm.score(docs, F.col("doc_id") < 3, scratch).collect()
-    by = {r.doc.doc_id - 3: r.score for r in scored}
     assert scored[0].train_tokens == 15
-    # P(first word w, then the end); the end after w is divided out by texts of w alone.
-    first = docs.sparkSession.createDataFrame(
-        [row(100 + i, f"{w} ab") for i, w in enumerate(asked[:5])], SCHEMA
-    )
-    assert first.count() == 5
-    assert 0 < sum(10**v for v in by.values()) <= 1.0001
+    assert 0 < sum(10**r.score for r in scored if r.doc.doc_id >= 3) <= 1
 
 
 # Fingerprints
