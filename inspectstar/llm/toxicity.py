@@ -36,8 +36,8 @@ from inspectstar.llm.words import Slice, Words, mix64, slices, span_hashes
 from inspectstar.scratch import Scratch
 
 TRAINING_ROWS = 500_000
-#: A feature needs this share of the toxic training rows, and this many of them at least.
-SUPPORT, LEAST_SUPPORT = 0.005, 4
+#: A feature needs this many of the toxic training rows, however many there are.
+LEAST_SUPPORT = 4
 #: Least log odds of a feature, less their standard error.
 ODDS = 3.0
 HISTOGRAM = 20  # bins per unit of evidence
@@ -306,40 +306,35 @@ def fit(
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, feature in restorer.features(batch.column("text")):
-                value, n = np.unique(feature, return_counts=True)
+            label = batch.column("label").cast(pa.int64()).to_numpy()
+            for piece, document, _, feature in restorer.features(batch.column("text")):
+                toxic = label[piece.first : piece.last][document]
+                value, at = np.unique(feature, return_inverse=True)
+                hits = np.bincount(at, toxic, minlength=len(value)).astype(np.int64)
+                misses = np.bincount(at, minlength=len(value)) - hits
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), pa.array(n)], names=["feature", "n"]
+                    [pa.array(value.view(np.int64)), pa.array(hits), pa.array(misses)],
+                    names=["feature", "hits", "misses"],
                 )
 
-    counted = learned.where("label = 1").select("text").mapInArrow(gather, "feature long, n long")
-    least = max(LEAST_SUPPORT, SUPPORT * sizes[1])
-    # At most (features of a document on average) / SUPPORT of them, whatever the corpus.
-    frequent = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    held = frequent.toPandas()
+    counted = learned.select("text", "label").mapInArrow(
+        gather, "feature long, hits long, misses long"
+    )
+    counted = counted.groupBy("feature").agg(
+        F.sum("hits").alias("hits"), F.sum("misses").alias("misses")
+    )
+    hits, misses = F.col("hits") + 0.5, F.col("misses") + 0.5
+    odds = F.log(hits / (sizes[1] + 1)) - F.log(misses / (sizes[0] + 1))
+    odds -= F.sqrt(1 / hits + 1 / misses)  # less one standard error
+    counted = counted.where(F.col("hits") >= LEAST_SUPPORT).select("feature", odds.alias("odds"))
+    # Only features that pass are fetched; the bounded label sample bounds them.
+    held = counted.where(F.col("odds") >= ODDS).toPandas()
     if not len(held):
         return constant
     feature = held["feature"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(feature)
-    feature, hits = feature[order], held["n"].to_numpy()[order]
-
-    def recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(feature), dtype=np.int64)
-        for batch in batches:
-            for _, _, _, found in restorer.features(batch.column("text")):
-                at = np.minimum(np.searchsorted(feature, found), len(feature) - 1)
-                sums += np.bincount(at[feature[at] == found], minlength=len(feature))
-        some = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["at", "n"])
-
-    clean = learned.where("label = 0").select("text").mapInArrow(recount, "at long, n long")
-    misses = np.zeros(len(feature))
-    summed = clean.groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    misses[summed["at"].to_numpy(dtype=int)] = summed["n"]
-    odds = np.log((hits + 0.5) / (sizes[1] + 1)) - np.log((misses + 0.5) / (sizes[0] + 1))
-    odds -= np.sqrt(1 / (hits + 0.5) + 1 / (misses + 0.5))  # less one standard error
-    strong = odds >= ODDS
-    model = ToxicityModel(restorer, feature[strong], odds[strong], np.array([0.0]), np.array([share]))
+    feature, odds = feature[order], held["odds"].to_numpy()[order]
+    model = ToxicityModel(restorer, feature, odds, np.array([0.0]), np.array([share]))
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -345,6 +345,19 @@ def test_toxicity_learns_and_restores(frame, scratch):
     assert shown.endswith("you stupid idiot")
 
 
+def test_toxic_words_are_known_however_many_rows_there_are(spark, scratch):
+    """A word in some 13 of 3,200 toxic rows, fewer than 0.5 % of them, and in no clean one."""
+    docs = spark.range(24_000).select(
+        F.col("id").alias("doc_id"),
+        F.expr("if(id % 5 = 0 and id < 100, 'so grobble here', concat('so here ', id % 7))").alias("text"),
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("label"))
+    model = toxicity.fit(docs, labels, toxicity.letter_model(docs), scratch)
+    asked = spark.createDataFrame([(1, "a grobble"), (2, "a house")], "doc_id long, text string")
+    by = {r.doc.doc_id: r for r in toxicity.score(asked, model).collect()}
+    assert by[1].evidence > 0 == by[2].evidence and by[1].score > by[2].score
+
+
 def test_toxicity_odd_rows(spark, odd, nothing, scratch):
     labels = spark.createDataFrame([(4, 1), (6, 0), (None, 1), (7, None)], "doc_id long, label int")
     costs = toxicity.letter_model(odd)
