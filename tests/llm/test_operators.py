@@ -391,6 +391,21 @@ def test_reparameterised_questions_are_found(spark, frame, scratch):
     assert {2, 3, 4, 5, 7} <= {r.doc_id for r in kept.collect()}
 
 
+def test_copies_of_items_with_few_literal_words_are_found(spark, frame, scratch):
+    items = [
+        "12 + 7 = 19 ; 30 + 4 = 34 ; 8 + 9 = 17 ; 5 + 6 = 11",
+        "5 times 6 is 30",
+        "Visit Paris London Rome Madrid Berlin Vienna Prague Warsaw Lisbon Athens Dublin Oslo",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"so we write {t} here" for t in items]
+    texts += [texts[0].replace("19", "18").replace("34", "35").replace("17", "16"), texts[1].replace("30", "31")]
+    texts += [texts[2].lower()]
+    got = decontamination.matches(frame(texts), bench, scratch).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (1, 1), (2, 2), (5, 2)}
+    assert all(r.exact == r.windows for r in got)
+
+
 def test_decontamination_odd_rows(spark, odd, nothing, scratch):
     bench = odd.where("doc_id = 4").select(F.col("doc_id").alias("item_id"), "text")
     got = decontamination.matches(odd, bench, scratch).collect()
