@@ -406,6 +406,32 @@ def test_copies_of_items_with_few_literal_words_are_found(spark, frame, scratch)
     assert all(r.exact == r.windows for r in got)
 
 
+def test_names_numbers_and_units_of_every_form_are_slots(spark, frame, scratch):
+    items = {
+        1: "Tom has 3 red apples and buys 4 more apples today",
+        2: "The box weighs 5kg and the old red box on the left side weighs 9kg",
+        3: "we saw thirteen birds in the tall tree near the old mill",
+        4: "they came in on the 3rd day of the long march home",
+        5: "the letter that Ivan wrote to the mayor was very long indeed",
+    }
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    texts = [
+        "Look here. " + items[1].replace("Tom", "Anna"),
+        "Look here. " + items[1].replace("Tom", "Mary Ann"),
+        "Look here. " + items[1].replace("Tom", "Élodie"),
+        items[2].replace("5kg", "7kg").replace("9kg", "30 kg"),
+        items[3].replace("thirteen", "nineteen"),
+        items[3].replace("thirteen", "twenty-one"),
+        items[4].replace("3rd", "21st"),
+        items[5].replace("Ivan", "Иван Petrov"),
+        "The red apples and the box on the left side of the tall tree",
+    ]
+    got = decontamination.matches(frame(texts), bench, scratch).collect()
+    want = {(0, 1), (1, 1), (2, 1), (3, 2), (4, 3), (5, 3), (6, 4), (7, 5)}
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(r.exact < r.windows for r in got)
+
+
 def test_decontamination_odd_rows(spark, odd, nothing, scratch):
     bench = odd.where("doc_id = 4").select(F.col("doc_id").alias("item_id"), "text")
     got = decontamination.matches(odd, bench, scratch).collect()
