@@ -44,16 +44,33 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Proposals beyond the base patterns.
+# How @ and the dots of an address are written out in the corpus' languages.
+_AT_WORD, _DOT_WORD = "(?:at|arobase|arroba|klammeraffe)", "(?:dot|point|punkt|punto)"
+_AT = rf"[\x20]?(?:\({_AT_WORD}\)|\[{_AT_WORD}\]|\{{{_AT_WORD}\}})[\x20]?"
+_SPELLED_DOT = (
+    rf"(?:[\x20]?(?:\({_DOT_WORD}\)|\[{_DOT_WORD}\]|\{{{_DOT_WORD}\}})[\x20]?|[\x20]{_DOT_WORD}[\x20])"
+)
+_DOT = rf"(?:\.|{_SPELLED_DOT})"
+_BETWEEN = r"[\x20 ‐-–()./_-]{0,3}+"
+_DATE = r"[0-9]{2}[./-][0-9]{2}[./-][0-9]{4}(?![0-9])"
+#: Proposals beyond the base patterns. A bare word for @ needs a word for a dot after it.
 LOOSE = {
-    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++[\x20]?(?:\(at\)|\[at\]|\{{at\}})[\x20]?{_HOST}++"
-    rf"(?:(?:\.|[\x20]?(?:\(dot\)|\[dot\]|\{{dot\}})[\x20]?){_HOST}++)++",
+    "email": rf"(?i)(?:\G|(?<!{_LOCAL})){_LOCAL}++(?:{_AT}{_HOST}++(?:{_DOT}{_HOST}++)++"
+    rf"|[\x20]{_AT_WORD}[\x20]{_HOST}++{_SPELLED_DOT}{_HOST}++(?:{_DOT}{_HOST}++)*+)",
     "ip": r"(?<![0-9A-Za-z])[0-9]{1,3}+(?:[\x20]?\.[\x20]?[0-9]{1,3}+){3}(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z])[0-9]{4}+(?:[./_][0-9]{4}+){3}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z])(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
+    # 12 to 19 digits, 8 to 15 with a leading 0 or bracket; dates and decimals are no phones.
+    "card": rf"(?<![0-9A-Za-z])[0-9](?:{_BETWEEN}[0-9]){{11,18}}+(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z])(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])"
+    rf"|(?<![0-9A-Za-z+])(?<![0-9][./-])(?:(?!0[.,]|{_DATE})0(?:{_BETWEEN}[0-9]){{7,14}}+"
+    rf"|\([0-9]{{2,5}}+\)(?:{_BETWEEN}[0-9]){{5,10}}+)(?![0-9A-Za-z])",
 }
 #: Of a sign that any match of the generator needs; others are not searched.
-NEEDED = {"email": r"[@(\[{]", "ip": r"[0-9]", "card": r"[0-9]", "phone": r"[0-9]"}
+NEEDED = {
+    "email": rf"(?i)[@(\[{{]|[\x20]{_AT_WORD}[\x20]",
+    "ip": r"[0-9]",
+    "card": r"[0-9]",
+    "phone": r"[0-9]",
+}
 # Words before a span that speak of its kind, and words that speak against.
 FOR = r"(?i)(mail|contact|tel|phone|call|fax|mobile|card|visa|pay|host|server|ip|addr)[a-z]*\W*$"
 AGAINST = r"(?i)(version|release|id|token|key|hash|order|no|nr|isbn|serial|license|section)\W*$"
@@ -258,7 +275,8 @@ def fit(found: DataFrame, scratch: Scratch, precision: float = PRECISION) -> Per
     )
     # Calibration: from the highest score down, the rate of hits among labelled rows.
     above = Window.partitionBy("kind").orderBy(F.col("score").desc())
-    rate = F.sum("hits").over(above) / F.sum("n").over(above)
+    # Null while none is labelled.
+    rate = F.try_divide(F.sum("hits").over(above), F.sum("n").over(above))
     rated = scored.select("kind", "score", rate.alias("rate"), "n", "seen", *FEATURES[1:])
     least = F.min(F.when((F.col("rate") >= precision) & (F.col("n") > 0), F.col("score"))).over(
         Window.partitionBy("kind")

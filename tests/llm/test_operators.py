@@ -215,6 +215,31 @@ def test_personal_adds_and_redacts(frame, scratch):
     assert by[60] == texts[60]
 
 
+def test_personal_written_forms_are_proposed(frame, scratch):
+    forms = {
+        "phone": ["06 12 34 56 78", "030 1234567", "0049 30 1234567", "(030) 123456", "06.12.34.56.78"],
+        "email": ["john at example dot com", "jean (at) exemple.fr", "ana arroba ejemplo punto es"],
+        "card": ["4111 1111-1111.1111", "3782.822463.10005", "4111/1111/1111/1111"],
+    }
+    asked = [(kind, form) for kind, several in forms.items() for form in several]
+    none = ["met at 10 on 01.02.2024 10:30 with 0.123456789", "look at example.com", "call 0123"]
+    texts = [f"write to {form}, please" for _, form in asked] + none
+    sure = [f"call +49 30 12{i:05d} now" for i in range(40)]
+    sure += [f"call +33 6 12 34 {i} 78 now" for i in range(10, 50)]
+    sure += [f"no {i} and x{5550000000 + i}y" for i in range(100, 160)]
+    docs = frame(texts + sure)
+    found = personal.candidates(docs)
+    every = F.transform("proposed", lambda c: F.struct(c["start"], c["rank"], c["end"]))
+    named = found.select("doc.doc_id", personal.named(every).alias("spans")).collect()
+    got = {r.doc_id: r.spans.split(",") for r in named}
+    for i, (kind, form) in enumerate(asked):
+        assert f"{kind}:9:{9 + len(form)}" in got[i], form
+    for i in range(len(asked), len(texts)):
+        assert not [c for c in got[i] if c.startswith(("email", "phone"))], texts[i]
+    by = {r.doc_id: r.text for r in personal.redact(docs, scratch).collect()}
+    assert by[0] == "write to <PHONE>, please"
+
+
 def test_personal_odd_rows(odd, nothing, scratch):
     assert personal.redact(odd, scratch).count() == N
     assert personal.redact(nothing, scratch).count() == 0
