@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inspectstar.llm import (
+    alignment,
     decontamination,
     fingerprints,
     jaccard,
     language,
     lm,
     mixing,
+    periodic,
     personal,
     quality,
     repeats,
+    tokenfiles,
     toxicity,
 )
-from inspectstar.llm.common import fold, table
+from inspectstar.llm.common import WORD, fold, table
 from inspectstar.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +155,81 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+#: The end of a document in the token files.
+END_ID = 2
+
+
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = Scratch(spark).path("token-files")
+    tokenfiles.write(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    found = tokenfiles.read(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """The texts of which the query plants runs, by the crc32 of the id."""
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    chosen = docs.select("doc_id", "text", key.alias("key")).withColumn(
+        "words", F.when(F.col("key") % 10 == 0, words)
+    )
+    n, g = F.size("words"), F.floor(F.col("key") / 10)
+    start = (g % n).cast("int")
+    period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+    head = F.slice("words", F.lit(1), F.col("start"))
+    block = F.slice("words", F.col("start") + 1, F.col("period"))
+    times = F.ceil((n - F.col("start")) / F.col("period")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), n - F.col("start"))
+    planted = F.col("key").isNotNull() & (F.size("words") > 0)
+    numbered = chosen.withColumns(
+        {"start": F.when(planted, start), "period": F.when(planted, period)}
+    )
+    text = F.when(planted, F.array_join(F.concat(head, tail), " ")).otherwise(F.col("text"))
+    return numbered.select("doc_id", text.alias("text"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _made_periodic(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.collapse(docs)
+    best = periodic.strongest(F.col("runs"))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    found = found.withColumns({"best": best, "listed": F.array_join(lines, "")})
+    return found.select(
+        "doc.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.align(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        Scratch(spark),
+        digest=True,
+    )
+    return found.select(
+        "doc.doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_scores": op2_scores,
@@ -162,4 +241,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_token_files": op11_token_files,
+    "op12_runs": op12_runs,
+    "op13_alignment": op13_alignment,
 }

@@ -49,7 +49,7 @@ def test_all_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES}
-    assert numbers == set(range(1, 11)) and len(QUERIES) == 10
+    assert numbers == set(range(1, 14)) and len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
