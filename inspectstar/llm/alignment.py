@@ -47,7 +47,7 @@ from inspectstar.llm.words import Slice, slices
 from inspectstar.scratch import Scratch
 
 #: Text bytes of a chunk, entries of a block, runs merged at once, links made at once.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 BLOCK = 16_384
 FAN_IN = 256
 LINKS = 2_000_000

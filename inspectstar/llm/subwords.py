@@ -22,9 +22,11 @@ import regex
 
 from inspectstar.llm.words import Slice, slices
 
-#: Text bytes handled at once, and the distinct pieces a worker remembers between slices.
-SLICE_BYTES = 8_000_000
-REMEMBERED = 1_000_000
+#: Text bytes handled at once, and what a worker remembers between slices: distinct parts of
+#: pieces, and distinct pieces.
+SLICE_BYTES = 4_000_000
+REMEMBERED_PARTS = 600_000
+REMEMBERED_PIECES = 300_000
 
 _OPENS = np.zeros(256, dtype=bool)  # bytes after a space that starts a piece
 _OPENS[0x21:0x7F] = True
@@ -55,28 +57,13 @@ def byte_signs() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
-class _Remembering:
-    """Ids by piece, as 32-bit numbers. Forgetting costs time, never a result."""
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, bytes] = {}
-
-    def ids(self, pieces: list[bytes]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        fresh = [p for p in pieces if p not in self.known]
-        self.known.update(zip(fresh, self._encode(fresh), strict=True))
-        return [self.known[p] for p in pieces]
-
-
-class ByteLevel(_Remembering):
+class ByteLevel:
     """A byte-level BPE file of the ``tokenizers`` library, without added special tokens.
 
     ``special``: whether the strings of special tokens inside a text count as these tokens.
     """
 
     def __init__(self, path: str, special: bool):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -94,7 +81,7 @@ class ByteLevel(_Remembering):
         strings = [re.escape(x["content"].encode()) for x in added] if special else []
         self.added = re.compile(b"|".join(strings)) if strings else None
         self.signs = {b: ord(s) for b, s in enumerate(byte_signs())}
-        self.single: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     @property
     def size(self) -> int:
@@ -106,17 +93,18 @@ class ByteLevel(_Remembering):
         return [_packed(x.ids) for x in found]
 
     def _part(self, part: bytes) -> bytes:
-        ids = self.single.get(part)
+        ids = self.known.get(part)
         if ids is None:
             shown = part.decode("latin-1").translate(self.signs)
-            ids = self.single[part] = _packed([t.id for t in self.tokenizer.model.tokenize(shown)])
+            ids = self.known[part] = _packed([t.id for t in self.tokenizer.model.tokenize(shown)])
         return ids
 
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as 32-bit numbers. Forgetting costs time, never a result."""
         if not self.by_piece:
             return self._whole(pieces)
-        if len(self.single) > REMEMBERED:
-            self.single = {}
+        if len(self.known) > REMEMBERED_PARTS:
+            self.known = {}
         out, rest = [], []
         for i, piece in enumerate(pieces):
             word = _WORD.fullmatch(piece)
@@ -143,25 +131,30 @@ class ByteLevel(_Remembering):
         return out
 
 
-class Pieces(_Remembering):
+class Pieces:
     """A ``sentencepiece`` model that puts a space before a text."""
 
     def __init__(self, path: str):
-        super().__init__()
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.size)]
         self.by_piece = not any("▁" in name.lstrip("▁") for name in names)
+        self.known: dict[bytes, bytes] = {}
 
     @property
     def size(self) -> int:
         return self.model.get_piece_size()
 
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
-        # Every piece begins with the space that the model adds by itself.
-        texts = [p[1:].decode("utf-8") for p in pieces]
-        return [_packed(ids) for ids in self.model.encode(texts, num_threads=1)]
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as 32-bit numbers; it begins with the space that the model
+        adds by itself. Forgetting costs time, never a result."""
+        if len(self.known) > REMEMBERED_PIECES:
+            self.known = {}
+        fresh = [p for p in pieces if p not in self.known]
+        found = self.model.encode([p[1:].decode("utf-8") for p in fresh], num_threads=1)
+        self.known.update(zip(fresh, map(_packed, found), strict=True))
+        return [self.known[p] for p in pieces]
 
     def token_bytes(self) -> list[bytes]:
         out = []
@@ -220,7 +213,7 @@ class PieceTable:
         self.distinct = pieces.dictionary.to_pylist()
         self.index = pieces.indices.to_numpy()
 
-    def distinct_ids(self, encoder: _Remembering) -> tuple[np.ndarray, np.ndarray]:
+    def distinct_ids(self, encoder: ByteLevel | Pieces) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the distinct pieces one after another, how many each has)."""
         found = encoder.ids(self.distinct)
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
@@ -235,7 +228,7 @@ class PieceTable:
         return flat[at], ends[self.first]
 
 
-def encoded(texts: pa.Array | pa.ChunkedArray, encoder: _Remembering) -> Iterator[Ids]:
+def encoded(texts: pa.Array | pa.ChunkedArray, encoder: ByteLevel | Pieces) -> Iterator[Ids]:
     """The ids of ``texts``, slice by slice; null counts as empty."""
     for piece in slices(texts, SLICE_BYTES):
         table = PieceTable(piece.data, piece.bounds, encoder.by_piece)

@@ -62,7 +62,8 @@ def test_sentence_pieces_have_the_ids_of_whole_texts(spark):
 
 
 def test_forgetting_changes_nothing(monkeypatch):
-    monkeypatch.setattr(subwords, "REMEMBERED", 2)
+    monkeypatch.setattr(subwords, "REMEMBERED_PARTS", 2)
+    monkeypatch.setattr(subwords, "REMEMBERED_PIECES", 2)
     monkeypatch.setattr(subwords, "SLICE_BYTES", 20)
     texts = ["one two three", "four, five. six", "one two seven", None, "eight"] * 3
     whole = Tokenizer.from_file(BYTES)
