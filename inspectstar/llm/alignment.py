@@ -47,10 +47,10 @@ from inspectstar.llm.words import Slice, slices
 from inspectstar.scratch import Scratch
 
 #: Text bytes of a chunk, entries of a block, runs merged at once, links made at once.
-CHUNK_BYTES = 4_000_000
-BLOCK = 16_384
-FAN_IN = 256
-LINKS = 2_000_000
+CHUNK_BYTES = 2_000_000
+BLOCK = 4_096
+FAN_IN = 1024
+LINKS = 500_000
 #: Radixes: one for so many text bytes, between the least and the most.
 RADIX_BYTES = 64_000_000
 RADIXES = (64, 4096)
@@ -378,6 +378,14 @@ def _solved(runs: DataFrame, side: int, scratch: Scratch, fan_in: int) -> DataFr
 _COUNTS = "n_a long, n_b long, n_groups long, n_links long, groups string"
 
 
+def _padded(piece: Slice) -> Slice:
+    """A space before each text but the empty ones."""
+    some = np.diff(piece.bounds) > 0
+    added = np.concatenate([[0], np.cumsum(some)])
+    data = np.insert(piece.data, piece.bounds[:-1][some], 0x20)
+    return Slice(piece.first, piece.last, data, piece.bounds + added)
+
+
 def _chunks(path_a: str, path_b: str, radixes: int, digest: bool, doc_kind: pa.DataType):
     """A function for mapInArrow: (doc, text) to the rows of documents and of runs."""
 
@@ -385,12 +393,7 @@ def _chunks(path_a: str, path_b: str, radixes: int, digest: bool, doc_kind: pa.D
         a_side, b_side = byte_level(path_a, False), sentence_pieces(path_b)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            text = batch.column("text").cast(pa.large_string())
-            some = pc.greater(pc.binary_length(text), 0).fill_null(False)
-            space, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
-            joined = pc.binary_join_element_wise(space, text, nothing)
-            padded = pc.if_else(some, joined, nothing)
-            for piece in slices(padded, CHUNK_BYTES):
+            for piece in map(_padded, slices(batch.column("text"), CHUNK_BYTES)):
                 one = PieceTable(piece.data, piece.bounds, a_side.by_piece)
                 two = one
                 if a_side.by_piece != b_side.by_piece:
