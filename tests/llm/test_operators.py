@@ -457,6 +457,39 @@ def test_names_numbers_and_units_of_every_form_are_slots(spark, frame, scratch):
     assert all(r.exact < r.windows for r in got)
 
 
+def test_number_words_of_one_number_are_one_slot(spark, frame, scratch):
+    items = {
+        1: "the old farm had nine white cows and one black dog near the river",
+        2: "in der alten Stadt standen zwölf kleine Häuser und sieben hohe Bäume am Fluss",
+        3: "le vieux marchand a vendu quinze pommes vertes pour trente euros au marché hier",
+        4: "the company sold 3 million red boxes last summer in the far north",
+    }
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    texts = [
+        items[1].replace("nine", "twenty five"),
+        items[2].replace("zwölf", "zwanzig").replace("sieben", "8"),
+        items[3].replace("quinze", "seize").replace("trente", "quarante"),
+        items[4].replace("3 million", "200"),
+        items[1].replace("white cows", "brown pigs"),
+    ]
+    got = decontamination.matches(frame(texts), bench, scratch).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 1), (1, 2), (2, 3), (3, 4)}
+
+
+def test_full_tables_change_no_match(spark, frame, scratch, monkeypatch):
+    items = [(i, prose(i, 30 + i)) for i in range(12)] + [(20, "5 times 6 is 30")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [prose(50 + i, 40) + " " + prose(i, 20) for i in range(0, 24, 3)] + ["so 5 times 6 is 30"]
+    found = []
+    for bits, known in ((24, 2_000_000), (6, 2_000_000), (24, 0)):
+        monkeypatch.setattr(decontamination, "TABLE_BITS", bits)
+        monkeypatch.setattr(decontamination, "KNOWN", known)
+        rows = decontamination.matches(frame(texts), bench, scratch).collect()
+        found.append(sorted(tuple(r) for r in rows))
+    assert found[0] == found[1] == found[2]
+    assert {(r[0], r[2]) for r in found[0]} == {(0, 0), (1, 3), (2, 6), (3, 9), (8, 20)}
+
+
 def test_decontamination_odd_rows(spark, odd, nothing, scratch):
     bench = odd.where("doc_id = 4").select(F.col("doc_id").alias("item_id"), "text")
     got = decontamination.matches(odd, bench, scratch).collect()
