@@ -1,13 +1,22 @@
 """Toxicity of texts whose words may be disguised.
 
 A noisy channel turns letters into look-alikes, repeats them, or puts spaces and marks
-between them. Words that show such traces become a lattice: every sign offers the letters
-it may stand for, a repeated sign may stand for one or two, a mark may stand for nothing.
-Viterbi decoding under a character trigram model, counted over all documents, picks the
-likeliest word. Features of the restored words (the word, its first 4, 5 and 6 bytes) get
-log odds from labelled documents; a document's evidence is the sum over its different
-words of their strongest feature, and isotonic regression on rows kept apart turns the
-evidence into a probability.
+between them. Words that show such traces, and neighbours that may be parts of one word,
+become a lattice: a sign offers the letters it may stand for or itself, a repeated sign may
+stand for one or two, a mark or a gap may be a word edge or nothing. Viterbi decoding under
+a character model (a letter after the three before it in its word, counted over all
+documents) picks the likeliest words; the literal reading is one of the paths, so it stays
+where it is likelier.
+
+Which plain words enter the lattice is decided by the same costs, for all words of a slice
+at once: a word with one doubled letter, or two neighbours with one space between them, can
+only be read in two ways, and is decoded if the other way is likelier. Words with further
+traces are always decoded.
+
+Features of the restored words (the word, its first 4, 5 and 6 bytes) get log odds from
+labelled documents; a document's evidence is the sum over its different words of their
+strongest feature, and isotonic regression on rows kept apart turns the evidence into a
+probability.
 
 Learning uses at most about ``TRAINING_ROWS`` labelled rows, those with the lowest hashed
 id; the character model covers all rows.
@@ -15,7 +24,8 @@ id; the character model covers all rows.
 Defined results: null and empty texts have no evidence and get the score of texts without
 any; equal texts get equal scores; labels other than 0 and 1 are not learned from;
 without labelled rows, or without both labels, every score is the share of label 1 (0 if
-there is none).
+there is none). Very long texts and words are decoded whole, in time in proportion to their
+length. Columns of any name are carried along in ``doc``.
 """
 
 from __future__ import annotations
@@ -49,86 +59,179 @@ LOOK_ALIKES = {
     "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "*": "aeiou",
     "€": "e", "£": "l", "¡": "i",
 }
-LOOK_ALIKE_COST, DROP_COST, SINGLE_COST = 1.5, 12.0, 0.5
+#: What the channel asks, in nats: a letter shown as a look-alike; a look-alike that means
+#: nothing; a stretched letter meant twice; a doubled letter meant once, in a word with one
+#: of them or with more.
+LOOK_ALIKE_COST, DROP_COST, SINGLE_COST = 1.5, 6.0, 0.5
+DOUBLE_COST, DOUBLES_COST = 7.0, 3.0
+#: A look-alike that means itself, digit or not.
+DIGIT_COST, SIGN_COST = 2.0, 4.5
+#: A gap inside a word: a mark; a space; a space between single signs; a wider gap, in addition.
+MARK_COST, SPACE_COST, SPELLED_COST, WIDE_COST = 3.0, 7.0, 1.0, 4.0
+CACHED_BYTES = 64  # longer chains of words are decoded each time
 
 _SYMBOLS = 28  # a..z, other letters, word edge
 _EDGE, _OTHER = 27, 26
-_SYMBOL = np.full(256, _EDGE, dtype=np.int64)
+_SYMBOL = np.full(256, _EDGE, dtype=np.uint8)
 _SYMBOL[128:] = _OTHER
 for _code in range(26):
     _SYMBOL[ord("a") + _code] = _SYMBOL[ord("A") + _code] = _code
-_LETTER = _SYMBOL < _EDGE
-_DISGUISE = np.zeros(256, dtype=bool)
-_DISGUISE[[ord(c) for c in LOOK_ALIKES if ord(c) < 128]] = True
-_JOINER = np.zeros(256, dtype=bool)
-_JOINER[[ord(c) for c in "._-~*/\\"]] = True
+_NEW_WORD = (_EDGE * _SYMBOLS + _EDGE) * _SYMBOLS + _EDGE
+
+
+def _mask(signs: str) -> np.ndarray:
+    mask = np.zeros(256, dtype=bool)
+    mask[[ord(c) for c in signs]] = True
+    return mask
+
+
+_DISGUISE = _mask("".join(c for c in LOOK_ALIKES if ord(c) < 128))
+_DIGIT = _mask("0123456789")
+_JOINER = _mask("._-~*/\\")
+_OPENING = _mask("\"'([{,;:*_~")
+_CLOSING = _mask(".,;:!?\"')]}*_~")
+_SPELLING = _mask("0123456789@$") | (_SYMBOL != _EDGE)  # what may stand alone for a letter
+
+
+class Letters:
+    """The bytes of a slice as symbols, one edge before each text, with their contexts."""
+
+    def __init__(self, piece: Slice):
+        owner = np.repeat(np.arange(len(piece)), np.diff(piece.bounds))
+        self.at = np.arange(len(piece.data)) + owner + 1  # place of each byte
+        n = len(piece.data) + len(piece) + 4
+        self.symbol = np.full(n, _EDGE, dtype=np.uint8)
+        self.symbol[self.at] = _SYMBOL[piece.data]
+        # The three symbols before, as one number; what lies before an edge does not count.
+        before = np.full((3, n), _EDGE, dtype=np.uint8)
+        before[0, 1:] = self.symbol[:-1]
+        for k in (1, 2):
+            seen = before[k - 1] != _EDGE
+            before[k, k + 1 :] = np.where(seen[k + 1 :], self.symbol[: -k - 1], _EDGE)
+        self.context = (
+            before[2].astype(np.int32) * _SYMBOLS + before[1]
+        ) * _SYMBOLS + before[0]
+
+    def within(self, flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """How many flags are set at the symbols of each span of bytes."""
+        total = np.concatenate([[0], np.cumsum(flags)])
+        return total[self.at[end - 1] + 1] - total[self.at[start]]
+
+
+def _after(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """The context after ``symbol``, a letter."""
+    return context % _SYMBOLS**2 * _SYMBOLS + symbol
 
 
 def _count_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(_SYMBOLS**3, dtype=np.int64)
+    total = np.zeros(_SYMBOLS**4, dtype=np.int64)
     for batch in batches:
         for piece in slices(batch.column(0)):
-            signs = np.full(len(piece.data) + 2 * len(piece) + 2, _EDGE, dtype=np.int64)
-            owner = np.repeat(np.arange(len(piece)), np.diff(piece.bounds))
-            signs[np.arange(len(piece.data)) + 2 * owner + 2] = _SYMBOL[piece.data]
-            code = signs[:-2] * _SYMBOLS**2 + signs[1:-1] * _SYMBOLS + signs[2:]
-            total += np.bincount(code, minlength=len(total))
+            letters = Letters(piece)
+            total += np.bincount(
+                letters.context * _SYMBOLS + letters.symbol, minlength=len(total)
+            )
     cells = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "n"])
 
 
 def letter_model(docs: DataFrame) -> np.ndarray:
-    """Negative log probability of a letter after two others, counted over all texts."""
+    """Negative log probability of a symbol after the three before it, counted over all texts."""
     counted = docs.select("text").mapInArrow(_count_letters, "cell long, n long")
-    held = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # 28^3 rows at most
-    table = np.zeros(_SYMBOLS**3)
+    held = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # 28^4 rows at most
+    table = np.zeros(_SYMBOLS**4)
     table[held["cell"].to_numpy(dtype=int)] = held["n"]
-    table = table.reshape((_SYMBOLS,) * 3)
-    table[_EDGE, _EDGE, _EDGE] = 0  # gaps between words
-    one = table.sum(axis=(0, 1)) + 1
-    one = one / one.sum()
-    two = table.sum(axis=0) + 5 * one
-    two = two / two.sum(axis=1, keepdims=True)
-    three = table + 5 * two
-    return -np.log(three / three.sum(axis=2, keepdims=True))
-
-
-def _runs(word: str) -> list[tuple[str, int]]:
-    return [(m.group(1), len(m.group(0))) for m in re.finditer(r"(.)\1*", word, re.S)]
+    table = table.reshape((_SYMBOLS,) * 4)
+    table[_EDGE, _EDGE, _EDGE, _EDGE] = 0  # gaps between words
+    likely = table.sum(axis=(0, 1, 2)) + 1
+    likely = likely / likely.sum()
+    for axes in ((0, 1), (0,), ()):
+        shares = table.sum(axis=axes) + 5 * likely
+        likely = shares / shares.sum(axis=-1, keepdims=True)
+    return -np.log(likely).astype(np.float32)
+
+
+def _symbols(text: str) -> tuple[int, ...]:
+    """``text`` as the character model sees it: bytes of letters, an edge for any other sign."""
+    out: list[int] = []
+    for c in text:
+        out += _SYMBOL[list(c.encode())].tolist() if c.isalpha() else [_EDGE]
+    return tuple(out)
+
+
+@lru_cache(10_000)
+def _readings(sign: str, count: int, doubled: float) -> tuple[tuple[str, float, tuple[int, ...]], ...]:
+    """What ``count`` times ``sign`` may stand for: (text, cost, symbols).
+
+    ``doubled`` is asked for a doubled letter that is meant once.
+    """
+    letters = sign if sign.isalpha() else LOOK_ALIKES.get(sign, "")
+    own = 0.0 if sign.isalpha() else LOOK_ALIKE_COST
+    once = doubled if count == 2 else 0.0
+    steps = [(c, own + once) for c in letters]
+    if count >= 2:
+        steps += [(c + c, own + (SINGLE_COST if count > 2 else 0.0)) for c in letters]
+    if not sign.isalpha():
+        if letters:
+            steps.append(("", DROP_COST + (WIDE_COST if count > 1 else 0.0)))
+            steps.append((sign * count, (DIGIT_COST if sign.isdigit() else SIGN_COST) * count))
+        else:
+            steps.append(("", MARK_COST + (WIDE_COST if count > 1 else 0.0)))
+            steps.append((" ", 0.0))
+    return tuple((text, cost, _symbols(text)) for text, cost in steps)
+
+
+def _gap(before: str, width: int, after: str) -> tuple[tuple[str, float, tuple[int, ...]], ...]:
+    """What the space between two words may stand for."""
+    cost = SPELLED_COST if len(before) == len(after) == 1 else SPACE_COST
+    return ("", cost + (WIDE_COST if width > 1 else 0.0), ()), (" ", 0.0, (_EDGE,))
+
+
+def _lattice(text: str) -> Iterator[tuple[tuple[str, float, tuple[int, ...]], ...]]:
+    parts = re.split("( +)", text)
+    for i, part in enumerate(parts):
+        if i % 2:
+            yield _gap(parts[i - 1], len(part), parts[i + 1])
+        else:
+            runs = [(run.group(1), len(run.group())) for run in re.finditer(r"(.)\1*", part, re.S)]
+            pairs = sum(count == 2 for _, count in runs)
+            for sign, count in runs:
+                yield _readings(sign, count, DOUBLES_COST if pairs > 1 else DOUBLE_COST)
+
+
+def _decode(text: str, costs: list[float]) -> str:
+    """The likeliest words behind ``text``: Viterbi, states the last three symbols of a word."""
+    paths: dict[int, tuple[float, tuple]] = {_NEW_WORD: (0.0, ())}
+    for readings in _lattice(text):
+        after: dict[int, tuple[float, tuple]] = {}
+        for start, (base, trail) in paths.items():
+            for shown, cost, symbols in readings:
+                state, total = start, base + cost
+                for symbol in symbols:
+                    if symbol == _EDGE:
+                        if state != _NEW_WORD:
+                            total += costs[state * _SYMBOLS + _EDGE]
+                        state = _NEW_WORD
+                    else:
+                        total += costs[state * _SYMBOLS + symbol]
+                        state = state % _SYMBOLS**2 * _SYMBOLS + symbol
+                if state not in after or total < after[state][0]:
+                    after[state] = (total, (trail, shown) if shown else trail)
+        paths = after
+    ends = (
+        (total + (costs[state * _SYMBOLS + _EDGE] if state != _NEW_WORD else 0.0), state)
+        for state, (total, _) in paths.items()
+    )
+    shown, trail = [], paths[min(ends)[1]][1]
+    while trail:
+        trail, part = trail
+        shown.append(part)
+    return " ".join("".join(reversed(shown)).split())
 
 
 def restore_word(word: str, costs: np.ndarray) -> str:
-    """The likeliest word behind ``word``: Viterbi over its lattice, states two letters."""
-    paths: dict[tuple[int, int], tuple[float, tuple]] = {(_EDGE, _EDGE): (0.0, ())}
-    for sign, count in _runs(word.lower()):
-        letters = LOOK_ALIKES.get(sign, sign if sign.isalpha() else "")
-        own = 0.0 if sign.isalpha() else LOOK_ALIKE_COST
-        steps: list[tuple[str, float]] = [(c, own) for c in letters]
-        if count >= 2:
-            steps += [(c + c, own) for c in letters]
-        if count >= 3:  # a stretched letter is likelier meant once
-            steps = [(s, cost + (0 if len(s) == 1 else SINGLE_COST)) for s, cost in steps]
-        elif count == 2:
-            steps = [(s, cost + (0 if len(s) == 2 else DROP_COST)) for s, cost in steps]
-        if not sign.isalpha():
-            steps.append(("", DROP_COST if letters else 0.0))
-        after: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for (a, b), (cost, trail) in paths.items():
-            for text, extra in steps:
-                x, y, total, path = a, b, cost + extra, trail
-                for letter in text:
-                    symbol = ord(letter) - 97 if "a" <= letter <= "z" else _OTHER
-                    total += costs[x, y, symbol]
-                    x, y, path = y, symbol, (path, letter)
-                if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, path)
-        paths = after
-    best = min(paths.items(), key=lambda kv: (kv[1][0] + costs[kv[0][0], kv[0][1], _EDGE], kv[0]))
-    letters, trail = [], best[1][1]
-    while trail:
-        trail, letter = trail
-        letters.append(letter)
-    return "".join(reversed(letters))
+    """The likeliest reading of ``word``, or of words with spaces between them."""
+    return _decode(word.lower(), costs.ravel().tolist())
 
 
 @dataclass
@@ -140,13 +243,13 @@ class Restored:
     end: np.ndarray
     other_document: np.ndarray
     other: list[str]
-    #: For each word of ``other``, the first and last word of the slice it replaces.
-    place: list[tuple[int, int]] = field(default_factory=list)
+    #: First and last word of the slice, and the text that replaces them.
+    place: list[tuple[int, int, str]] = field(default_factory=list)
 
 
 class Restorer:
     def __init__(self, costs: np.ndarray):
-        self.costs = costs
+        self.costs = costs.ravel()
 
     def __getstate__(self) -> np.ndarray:
         return self.costs
@@ -154,67 +257,152 @@ class Restorer:
     def __setstate__(self, costs: np.ndarray) -> None:
         self.costs = costs
 
-    @property
-    def _cached(self):
+    def _reading(self, text: str) -> str:
         if "_cache" not in self.__dict__:
-            self._cache = lru_cache(100_000)(lambda word: restore_word(word, self.costs))
-        return self._cache
+            costs = self.costs.tolist()
+            self._decode = lambda shown: _decode(shown, costs)
+            self._cache = lru_cache(100_000)(self._decode)
+        return (self._cache if len(text) <= CACHED_BYTES else self._decode)(text)
+
+    def _cost(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        return self.costs[context * _SYMBOLS + symbol]
+
+    def _doubled(self, letters: Letters) -> tuple[np.ndarray, np.ndarray]:
+        """Flags at the second letter of a pair, and of pairs likelier to mean one letter."""
+        symbol, context = letters.symbol, letters.context
+        same = np.zeros(len(symbol) + 1, dtype=bool)
+        same[1:-1] = (symbol[1:] == symbol[:-1]) & (symbol[1:] < _OTHER)
+        pair = same[:-1] & ~same[1:]
+        pair[1:] &= ~same[:-2]
+        at = np.flatnonzero(pair)
+        x, near, far = symbol[at], symbol[at + 1], symbol[at + 2]
+        # As shown: x after x, then the two that follow; meant once: those two alone.
+        shown = self._cost(context[at], x) + self._cost(context[at + 1], near)
+        meant = self._cost(context[at], near)
+        inner = near != _EDGE
+        shown += inner * self._cost(context[at + 2], far)
+        meant += inner * self._cost(_after(context[at], near), far)
+        likelier = np.zeros(len(symbol), dtype=bool)
+        likelier[at[shown > meant + DOUBLE_COST]] = True
+        return pair, likelier
+
+    def _joined(self, letters: Letters, end: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Whether one word is likelier than one that ends at ``end``, one from ``start`` on."""
+        symbol, context = letters.symbol, letters.context
+        edge, first = letters.at[end - 1] + 1, letters.at[start]
+        shown = self._cost(context[edge], symbol[edge])
+        meant, state, inner = 0.0, context[edge], True
+        for k in range(3):
+            letter = symbol[first + k]
+            shown = shown + inner * self._cost(context[first + k], letter)
+            meant = meant + inner * self._cost(state, letter)
+            state, inner = _after(state, letter), inner & (letter != _EDGE)
+        return shown > meant + SPACE_COST
+
+    @staticmethod
+    def _core(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words without punctuation and threefold marks at their edges; maybe empty."""
+        n = len(data)
+        place = np.arange(n)
+        change = np.flatnonzero(data[1:] != data[:-1])
+        begin = np.concatenate([[0], change + 1])
+        size = np.diff(np.append(begin, n))
+        run, junk = np.repeat(begin, size), np.repeat(size > 2, size)
+        junk &= (_SYMBOL[data] == _EDGE) & ~_DIGIT[data]
+        stop = run + np.repeat(size, size)
+        opened = np.where(_OPENING[data], n, place)
+        opened = np.append(np.minimum.accumulate(opened[::-1])[::-1], n)
+        closed = np.maximum.accumulate(np.where(_CLOSING[data], -1, place))
+        low, high = np.minimum(opened[start], end), np.maximum(closed[end - 1] + 1, start)
+        for _ in range(2):  # marks, then what stood inside them
+            some = low < high
+            at = np.where(some & junk[np.minimum(low, n - 1)], stop[np.minimum(low, n - 1)], low)
+            low = np.where(at > low, np.minimum(opened[np.minimum(at, n)], end), low)
+            some = low < high
+            at = np.where(some & junk[high - 1], run[high - 1], high)
+            high = np.where(at < high, np.maximum(closed[np.maximum(at - 1, 0)] + 1, start), high)
+        return np.minimum(low, end - 1), np.maximum(high, np.minimum(low, end - 1))
 
     def restore(self, piece: Slice, words: Words) -> Restored:
         """``piece`` in lower case."""
-        data = piece.data
-        letter = _LETTER[data]
-        place = np.arange(len(data))
-        following = np.minimum.accumulate(np.where(letter, place, len(data))[::-1])[::-1]
-        previous = np.maximum.accumulate(np.where(letter, place, -1))
-        start, end = words.start, words.end
-        lettered = following[start] < end if len(start) else np.zeros(0, dtype=bool)
-        first = np.where(lettered, following[np.minimum(start, len(data) - 1)], start)
-        last = np.where(lettered, previous[end - 1] + 1, start)
-        inner = np.concatenate([[0], np.cumsum(~letter)])
-        same = np.zeros(len(data), dtype=bool)
-        same[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
-        tripled = np.concatenate([[0], np.cumsum(same)])
-        sign = np.concatenate([[0], np.cumsum(_DISGUISE[data])])
+        data, start, end = piece.data, words.start, words.end
+        if not len(start):
+            none = np.zeros(0, dtype=np.int64)
+            return Restored(none, none, none, none, [])
+        letters = Letters(piece)
+        owner = words.document()
+
+        def around(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The part of each word from its first to its last flag; empty without one."""
+            place = np.arange(len(data))
+            following = np.minimum.accumulate(np.where(flags, place, len(data))[::-1])[::-1]
+            previous = np.maximum.accumulate(np.where(flags, place, -1))
+            first, last = following[start], previous[end - 1] + 1
+            some = first < end
+            return np.where(some, first, start), np.where(some, last, start)
+
+        def marked(flags: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            total = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+            return total[high] - total[low]
+
+        letter = _SYMBOL[data] != _EDGE
+        first, last = around(letter)
+        lettered = last > first
+        low, high = self._core(data, start, end)
+
+        sign = _DISGUISE[data]
+        # Look-alikes of several bytes.
+        sign[:-1] |= (data[:-1] == 0xC2) & ((data[1:] == 0xA1) | (data[1:] == 0xA3))
+        sign[:-2] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x82) & (data[2:] == 0xAC)
+        signs = marked(sign, low, high)
         joint = np.zeros(len(data), dtype=bool)
-        joint[1:-1] = _JOINER[data[1:-1]] & letter[:-2] & letter[2:]
-        joints = np.concatenate([[0], np.cumsum(joint)])
-        # A disguise sign at the edge of a word belongs to it unless it is punctuation.
-        outer = np.where(sign[end] - sign[start] > 0, True, False) & (end - start <= 24)
+        joint[1:-1] = _JOINER[data[1:-1]] & (letter | sign)[:-2] & (letter | sign)[2:]
+        joints = marked(joint, low, high)
+        numeric = marked(_DIGIT[data], low, high)
+        symbol = letters.symbol
+        triple = np.zeros(len(symbol), dtype=bool)
+        triple[2:] = (symbol[2:] == symbol[1:-1]) & (symbol[1:-1] == symbol[:-2])
+        triple &= symbol < _OTHER
+        pair, likelier = self._doubled(letters)
+        bare = (signs == high - low) & (signs > numeric) & (high - low >= 2)
         odd = lettered & (
-            (sign[last] - sign[first] > 0)
-            | (tripled[end] - tripled[start] > 0)
-            | (joints[end] - joints[start] >= 2)
+            (signs > 0)
+            | (joints > 0)
+            | (letters.within(triple, start, end) > 0)
+            | (letters.within(pair, start, end) > 1)
+            | (letters.within(likelier, start, end) > 0)
         )
-        edge = lettered & ~odd & outer & (inner[last] - inner[first] == 0)
-        single = (end - start <= 2) & (lettered | (sign[end] - sign[start] > 0))
-        single &= (last - first <= 1) & ~odd
-        # Three or more single signs in a row within a document spell a word.
-        owner = words.document()
-        ids = np.flatnonzero(single)
-        groups: list[np.ndarray] = []
-        if len(ids):
-            cut = (np.diff(ids) > 1) | (owner[ids[1:]] != owner[ids[:-1]])
-            groups = [g for g in np.split(ids, np.flatnonzero(cut) + 1) if len(g) >= 3]
-        spelled = np.zeros(len(start), dtype=bool)
-        for g in groups:
-            spelled[g] = True
-        plain = lettered & ~odd & ~spelled
-        others, texts, places = [], [], []
-        for i in np.flatnonzero((odd | edge) & ~spelled):
-            text = data[start[i] : end[i]].tobytes().decode("utf-8")
-            text = re.sub(r"^(\W)\1{2,}|(\W)\2{2,}$|^[\"'(\[{,;:]+|[.,;:!?\"')\]}]+$", "", text)
-            if text:
-                others.append(owner[i])
-                texts.append(self._cached(text))
-                places.append((i, i))
-        for g in groups:
-            text = data[start[g[0]] : end[g[-1]]].tobytes().decode("utf-8")
-            others.append(owner[g[0]])
-            texts.append(self._cached("".join(text.split())))
-            places.append((g[0], g[-1]))
+        odd |= bare
+        # One code point that can stand for a letter.
+        single = (marked((data & 0xC0) != 0x80, low, high) == 1) & _SPELLING[data[low]]
+
+        # Gaps that may lie inside a word: nothing but spaces, and a reason on both sides.
+        spaces = (high[:-1] == end[:-1]) & (low[1:] == start[1:]) & (owner[1:] == owner[:-1])
+        trace = odd | single
+        inside = spaces & trace[:-1] & trace[1:]
+        pure = lettered & (last - first == high - low) & (marked(letter, low, high) == high - low)
+        asked = np.flatnonzero(spaces & ~inside & pure[:-1] & pure[1:] & (start[1:] - end[:-1] == 1))
+        inside[asked[self._joined(letters, end[asked], start[asked + 1])]] = True
+
+        # Chains of words without an edge that is certain.
+        head = np.flatnonzero(np.concatenate([[True], ~inside]))
+        size = np.diff(np.append(head, len(start)))
+        told = np.add.reduceat((lettered | bare).astype(np.int64), head) > 0
+        chosen = ((size > 1) & told) | ((size == 1) & odd[head])
+        plain = lettered & ~np.repeat(chosen, size)
+        others, owners, places = [], [], []
+        for a, n in zip(head[chosen].tolist(), size[chosen].tolist(), strict=True):
+            parts = [data[low[a] : high[a]].tobytes().decode("utf-8", "replace")]
+            for k in range(a + 1, a + n):
+                parts.append(" " * min(int(start[k] - end[k - 1]), 2))
+                parts.append(data[low[k] : high[k]].tobytes().decode("utf-8", "replace"))
+            text = self._reading("".join(parts))
+            places.append((a, a + n - 1, text))
+            for word in text.split():
+                others.append(word)
+                owners.append(owner[a])
         return Restored(
-            owner[plain], first[plain], last[plain], np.array(others, dtype=np.int64), texts, places
+            owner[plain], first[plain], last[plain], np.array(owners, dtype=np.int64), others, places
         )
 
     def features(self, texts: pa.Array) -> Iterator[tuple[Slice, np.ndarray, np.ndarray, np.ndarray]]:
@@ -290,7 +478,8 @@ def fit(
     restorer = Restorer(costs)
     total = labels.count()
     if total > limit:
-        labels = labels.where(F.abs(F.hash("doc_id")) < int(limit / total * (1 << 31)))
+        share = F.pmod(F.hash("doc_id"), F.lit(1 << 31))
+        labels = labels.where(share < int(limit / total * (1 << 31)))
     # Bounded by ``limit``, so the labels go to the texts and no text is shuffled.
     labelled = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
     rows = scratch.keep(labelled, "labelled")
@@ -384,7 +573,7 @@ def restore(docs: DataFrame, costs: np.ndarray) -> DataFrame:
                 found = restorer.restore(piece, words) if len(piece.data) else None
                 parts: list[list[str]] = [[] for _ in range(len(piece))]
                 ends = words.offset
-                new = {a: (b, t) for (a, b), t in zip(found.place, found.other, strict=True)} if found else {}
+                new = {a: (b, t) for a, b, t in found.place} if found else {}
                 for i in range(len(piece)):
                     k = int(ends[i])
                     while k < ends[i + 1]:

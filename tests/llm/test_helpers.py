@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -102,6 +103,102 @@ def test_disguised_words_are_restored(spark, shown, meant):
     assert toxicity.restore_word(shown, test_disguised_words_are_restored.costs) == meant
 
 
+SPOKEN = (
+    "you are an idiot and a stupid moron said the man with the better letter to a person who "
+    "is an ass in the end so they all went in to see if a way out is well known to some of us"
+)
+
+
+@pytest.fixture(scope="module")
+def spoken(spark):
+    docs = spark.createDataFrame([(SPOKEN,)] * 50, "text string")
+    return toxicity.letter_model(docs)
+
+
+@pytest.mark.parametrize(
+    ("shown", "meant"),
+    [("iiddiioott", "idiot"), ("id.iot", "idiot"), ("id iot", "idiot"), ("i_diot", "idiot"),
+     ("@$$", "ass"), ("a i d i o t", "a idiot"), ("y o u i d i o t", "you idiot"),
+     ("st upid person", "stupid person"), ("you are a s t u p i d person", "you are a stupid person"),
+     ("m-o-r-o-n,", "moron"), ("st\u00a1d", "stid"), ("i*d*i*o*t", "idiot"),
+     ("\u0438 \u0434 \u0438 \u043e \u0442", "\u0438\u0434\u0438\u043e\u0442")],
+)
+def test_disguises_over_word_edges(spoken, shown, meant):
+    texts = pa.array([f"so {shown} in the end"])
+    assert _restored(texts, spoken) == [f"so {meant} in the end"]
+
+
+@pytest.mark.parametrize(
+    "literal", ["better letter", "a way out", "in to see", "the man", "all went in", "see all", "$500 and 2019",
+                "covid19 and 24", "| a | the |", "the end"],
+)
+def test_literal_readings_stay_where_they_are_likelier(spoken, literal):
+    got = _restored(pa.array([literal]), spoken)
+    assert got == [literal]
+
+
+def _restored(texts, costs):
+    restorer, out = toxicity.Restorer(costs), []
+    for piece in slices(texts):
+        piece = piece.lowered()
+        words = piece.words()
+        found = restorer.restore(piece, words)
+        new = {a: (b, t) for a, b, t in found.place}
+        for i in range(len(piece)):
+            k, parts = int(words.offset[i]), []
+            while k < words.offset[i + 1]:
+                last, text = new.get(k, (k, words.text(k)))
+                parts.append(text)
+                k = last + 1
+            out.append(" ".join(parts))
+    return out
+
+
+def _likelihood(path, costs):
+    """The cost of one path of a lattice, step by step."""
+    total, context = 0.0, [27, 27, 27]
+    for _, cost, symbols in path:
+        total += cost
+        for symbol in symbols:
+            if symbol != 27 or context != [27, 27, 27]:
+                total += float(costs[context[0], context[1], context[2], symbol])
+            context = [27, 27, 27] if symbol == 27 else [*context[1:], symbol]
+    return total + (float(costs[(*context, 27)]) if context != [27, 27, 27] else 0.0)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="aidots1@.* -\u00e9", min_size=1, max_size=7).map(str.strip).filter(bool))
+def test_viterbi_finds_the_likeliest_path(spoken, text):
+    paths = list(itertools.product(*toxicity._lattice(text)))
+    costs = {}
+    for path in paths:
+        shown = " ".join("".join(step[0] for step in path).split())
+        costs[shown] = min(costs.get(shown, np.inf), _likelihood(path, spoken))
+    got = toxicity.restore_word(text, spoken)
+    assert costs[got] == pytest.approx(min(costs.values()), abs=1e-6)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from(SPOKEN.split() + ["id", "iot", "moroon", "st", "upid"]), min_size=1, max_size=8))
+def test_plain_words_are_left_out_only_where_the_lattice_keeps_them(spoken, words):
+    """The tests of all words at once agree with Viterbi over each word and each pair."""
+    text = " ".join(words)
+    piece = next(slices(pa.array([text])))
+    found = toxicity.Restorer(spoken).restore(piece, piece.words())
+    chosen = {k for a, b, _ in found.place for k in range(a, b + 1)}
+    for k, word in enumerate(words):
+        if k not in chosen:
+            assert toxicity.restore_word(word, spoken) == word
+            if k + 1 < len(words) and k + 1 not in chosen:
+                assert toxicity.restore_word(f"{word} {words[k + 1]}", spoken) == f"{word} {words[k + 1]}"
+
+
+def test_long_words_and_chains_are_decoded_whole(spoken):
+    got = _restored(pa.array(["i d i o t " * 3_000, "1d10t" * 3_000, "a" * 100_000, "@" * 50_000]), spoken)
+    assert got[0].split() == ["idiot"] * 3_000
+    assert got[1].replace(" ", "").count("idiot") > 2_900
+
+
 def test_more_runs_for_more_recall():
     depth, runs_ = jaccard.tree_shape(10_000, 0.8, 0.9)
     assert jaccard.tree_shape(10_000, 0.8, 0.999)[1] > runs_
