@@ -1,25 +1,32 @@
 """Personal data: candidate spans, boosted trees, calibrated thresholds. DataFrame only.
 
-Generators propose spans of four kinds. The base patterns of a kind give its sure spans;
-looser patterns propose more. Base matches that pass or fail their check (address parts,
-Luhn sum, number of digits) and numbers inside longer words are labelled rows; gradient
-boosted trees learn from them on features of format (length, grouping, signs) and context
-(neighbouring signs, keywords). All features are small classes, so the trees learn from a
-table of feature combinations, counted over all texts, whose size does not depend on the
-corpus. Per kind, the lowest score whose labelled rows from there on are right at the rate
-``PRECISION`` is the threshold; proposals above it that touch no base span are added.
+Generators propose spans of four kinds. The base patterns of a kind give its sure spans; looser
+patterns propose more. There are two views of a candidate, and each is the other's teacher:
+boosted trees over the context (neighbouring signs, keywords) learn from candidates whose
+format passes or fails the kind's check (address parts, Luhn sum, number of digits, top
+domain), and boosted trees over the format (length, grouping, signs, check) learn from
+candidates whose keywords speak for or against the kind. So no label is computed from a feature
+that its trees see. A number inside a longer word is no proposal. All features are small
+classes, so the trees learn from a table of feature combinations, counted over all texts, whose
+size does not depend on the corpus. Per view and kind, the lowest score whose labelled rows
+from there on are right at the rate ``PRECISION`` is the threshold; proposals above both that
+touch no base span are added. A view without a labelled row of a kind does not vote on it.
 
 Positions are code points, end exclusive. Matching takes time in proportion to a text's
 length: patterns use possessive quantifiers and start only where a run of signs starts.
+Spans are compared in one sweep over their order, and texts are cut by blocks, so many
+spans in a long text cost little more than each of them alone.
 
 Defined results: null and empty texts have no spans; within a kind matches do not
-overlap, of different kinds they may; without labelled rows of both classes nothing is
-added; equal texts have equal spans.
+overlap, of different kinds they may; a kind without labelled rows gets no added spans;
+equal texts have equal spans; repeated rows count each time. Further columns, whatever their
+names, stay as they are.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -74,34 +81,49 @@ NEEDED = {
 # Words before a span that speak of its kind, and words that speak against.
 FOR = r"(?i)(mail|contact|tel|phone|call|fax|mobile|card|visa|pay|host|server|ip|addr)[a-z]*\W*$"
 AGAINST = r"(?i)(version|release|id|token|key|hash|order|no|nr|isbn|serial|license|section)\W*$"
-_CHUNK = 256
+_TOP_DOMAIN = r"(?i)(?:\.|[)\]} ])[a-z]{2,24}$"
+_CHUNK = 256  # array entries
+_BLOCK = 1024  # code points
+_LOWEST = -(2**31) + 1
 
-FEATURES = ("kind", "digits", "groups", "sign", "before", "after", "speaks", "checked")
+#: The two views; the kind belongs to both.
+FORMAT = ("kind", "digits", "groups", "sign", "checked")
+CONTEXT = ("kind", "before", "after", "speaks")
+FEATURES = (*FORMAT, *CONTEXT[1:])
 
 
-def _running(lengths: Column) -> Column:
-    """For each entry the sum of those before it; in chunks, to keep copying small."""
+def _running(values: Column, join: Callable[[Column, Column], Column], base: int) -> Column:
+    """For each entry what ``join`` makes of ``base`` and the entries before it.
 
-    def sums(values: Column, base: Column) -> Column:
-        start = F.struct(base.cast("int").alias("sum"), F.array().cast("array<int>").alias("all"))
+    In chunks, to keep copying small.
+    """
+
+    def joined(part: Column, first: Column) -> Column:
+        start = F.struct(first.cast("int").alias("sum"), F.array().cast("array<int>").alias("all"))
         return F.aggregate(
-            values,
+            part,
             start,
             lambda acc, x: F.struct(
-                (acc["sum"] + x).alias("sum"), F.array_append(acc["all"], acc["sum"]).alias("all")
+                join(acc["sum"], x).alias("sum"), F.array_append(acc["all"], acc["sum"]).alias("all")
             ),
             lambda acc: acc["all"],
         )
 
-    def chunked(values: Column) -> Column:
-        places = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(_CHUNK))
-        chunks = F.transform(places, lambda at: F.slice(values, at + 1, _CHUNK))
-        totals = F.transform(
-            chunks, lambda c: F.aggregate(c, F.lit(0), lambda total, x: total + x)
-        )
-        return F.flatten(F.zip_with(chunks, sums(totals, F.lit(0)), sums))
+    def chunked(whole: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), F.lit(_CHUNK))
+        chunks = F.transform(places, lambda at: F.slice(whole, at + 1, _CHUNK))
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(base), join))
+        return F.flatten(F.zip_with(chunks, joined(totals, F.lit(base)), joined))
+
+    return let(values, chunked)
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
 
-    return let(lengths, chunked)
+
+def _furthest(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
 
 
 def _located(text: Column, pattern: str, needed: str) -> Column:
@@ -129,7 +151,7 @@ def _located(text: Column, pattern: str, needed: str) -> Column:
             )
 
         return let(
-            _running(lengths),
+            _running(lengths, _add, 0),
             lambda sums: F.transform(values, lambda v, i: span(v, i, F.get(sums, i))),
         )
 
@@ -164,7 +186,14 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _features(kind: str, span: Column, base: bool) -> list[Column]:
+def _checked(kind: str, value: Column) -> Column:
+    """Whether a candidate of any form has the format of its kind."""
+    if kind == "ip":
+        return _passes(kind, F.replace(value, F.lit(" "), F.lit("")))
+    return value.rlike(_TOP_DOMAIN) if kind == "email" else _passes(kind, value)
+
+
+def _features(kind: str, span: Column) -> list[Column]:
     """The classes of a candidate; none of them takes more than a few values."""
     value, before, after = span["value"], span["before"], span["after"]
     digits = _digits(value)
@@ -176,8 +205,7 @@ def _features(kind: str, span: Column, base: bool) -> list[Column]:
         .otherwise(3)
         for side, pattern in ((before, "{}$"), (after, "^{}"))
     ]
-    checked = _passes(kind, value) if kind in ("ip", "card") else F.lit(True)
-    checked = checked.cast("int")
+    checked = _checked(kind, value).cast("int")
     return [
         F.lit(KINDS.index(kind)).alias("kind"),
         F.least(F.length(digits), F.lit(20)).alias("digits"),
@@ -195,9 +223,10 @@ def _features(kind: str, span: Column, base: bool) -> list[Column]:
 
 
 def _candidates(kind: str, text: Column, loose: bool) -> Column:
-    """array<struct<start, end, rank, sure, label, features>> of one generator.
+    """array<struct<start, end, rank, sure, proposal, form, told, features>> of one generator.
 
-    label: 1 and 0 for matches that the rules settle, null for proposals.
+    form: whether the check of the kind passes, null for proposals, whose form is not the
+    base one; told: what the keywords say, null if nothing.
     """
     pattern = LOOSE[kind] if loose else BASE[kind]
     located = _located(text, pattern, NEEDED[kind])
@@ -205,17 +234,18 @@ def _candidates(kind: str, text: Column, loose: bool) -> Column:
     def described(span: Column) -> Column:
         sure = F.lit(False) if loose else _passes(kind, span["value"])
         inside = span["before"].rlike("[A-Za-z0-9]$") | span["after"].rlike("^[A-Za-z0-9]")
-        digits = F.length(_digits(span["value"]))
-        label = F.when(inside & (digits > 0) & F.lit(kind != "email"), 0) if loose else sure.cast("int")
-        if loose and kind == "phone":
-            label = F.coalesce(label, F.when(digits < 7, 0))
+        inside &= (F.length(_digits(span["value"])) > 0) & F.lit(kind != "email")
+        features = F.struct(*_features(kind, span))
+        told = F.when(features["speaks"] == 2, 0).when(features["speaks"] == 1, 1)
         return F.struct(
             span["start"].alias("start"),
             span["end"].alias("end"),
             F.lit(KINDS.index(kind)).alias("rank"),
             sure.alias("sure"),
-            label.cast("int").alias("label"),
-            F.struct(*_features(kind, span, not loose)).alias("features"),
+            (F.lit(loose) & ~inside).alias("proposal"),
+            F.when(F.lit(not loose), features["checked"]).alias("form"),
+            told.cast("int").alias("told"),
+            features.alias("features"),
         )
 
     return F.transform(located, described)
@@ -235,55 +265,127 @@ def candidates(docs: DataFrame) -> DataFrame:
 class PersonalModel:
     #: Feature combinations whose proposals are taken; as many as feature classes at most.
     accepted: list[str]
+    #: Feature combinations with the score of each view.
+    cells: DataFrame
+    #: The weight of each feature in the trees of its view.
+    weights: dict[str, float] = field(default_factory=dict)
 
 
 def _key(features: Column) -> Column:
     return F.concat_ws(".", *[features[name].cast("string") for name in FEATURES])
 
 
-def fit(found: DataFrame, scratch: Scratch, precision: float = PRECISION) -> PersonalModel:
-    """Learns from the rows of ``candidates`` which proposals to take."""
-    exploded = found.select(F.explode("proposed").alias("c")).select("c.label", "c.features.*")
-    cells = scratch.keep(
-        exploded.groupBy(*FEATURES).agg(
-            F.count("label").alias("n"),
-            F.coalesce(F.sum("label"), F.lit(0)).alias("hits"),
-            F.count("*").alias("seen"),
-        ),
-        "feature-cells",
-    )
+def _viewed(
+    cells: DataFrame, view: tuple[str, ...], label: str, precision: float
+) -> tuple[DataFrame, dict[str, float]]:
+    """``cells`` with ``score_<label>`` and ``passes_<label>`` (null: no vote), and weights.
+
+    Learns from the counts ``n_<label>`` of labelled rows and ``hits_<label>`` among them.
+    """
+    n, hits, score = f"n_{label}", f"hits_{label}", f"score_{label}"
     sides = cells.select(
         F.explode(
             F.array(
-                F.struct(F.lit(1.0).alias("label"), F.col("hits").cast("double").alias("weight")),
-                F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("hits")).cast("double").alias("weight")),
+                F.struct(F.lit(1.0).alias("label"), F.col(hits).cast("double").alias("weight")),
+                F.struct(F.lit(0.0).alias("label"), (F.col(n) - F.col(hits)).cast("double").alias("weight")),
             )
         ).alias("side"),
-        *FEATURES,
-    ).select("side.*", *FEATURES)
-    sides = sides.where("weight > 0")
-    classes = sides.agg(F.count_distinct("label")).first()[0]
-    if classes < 2 or not cells.where("seen > n").limit(1).count():
-        return PersonalModel([])
-    inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="inputs")
-    trees = GBTClassifier(
-        featuresCol="inputs", labelCol="label", weightCol="weight", maxIter=TREES,
-        maxDepth=DEPTH, maxBins=64, seed=SEED,
-    ).fit(inputs.transform(sides).coalesce(1))
-    scored = trees.transform(inputs.transform(cells)).withColumn(
-        "score", F.round(vector_to_array("probability")[1], 9)
+        *view,
+    )
+    # One row for each combination of this view's classes.
+    sides = sides.groupBy(F.col("side.label").alias("label"), *view).agg(
+        F.sum("side.weight").alias("weight")
     )
+    sides = sides.where("weight > 0").orderBy("label", *view)
+    weights = {}
+    if sides.agg(F.count_distinct("label")).first()[0] < 2:
+        scored = cells.withColumn(score, F.lit(0.5))
+    else:
+        inputs = VectorAssembler(inputCols=list(view), outputCol="inputs")
+        trees = GBTClassifier(
+            featuresCol="inputs", labelCol="label", weightCol="weight", maxIter=TREES,
+            maxDepth=DEPTH, maxBins=64, seed=SEED,
+        ).fit(inputs.transform(sides).coalesce(1))
+        weights = dict(zip(view, trees.featureImportances.toArray().tolist(), strict=True))
+        scored = trees.transform(inputs.transform(cells)).select(
+            *cells.columns, F.round(vector_to_array("probability")[1], 9).alias(score)
+        )
     # Calibration: from the highest score down, the rate of hits among labelled rows.
-    above = Window.partitionBy("kind").orderBy(F.col("score").desc())
+    kind = Window.partitionBy("kind")
+    above = kind.orderBy(F.col(score).desc())
     # Null while none is labelled.
-    rate = F.try_divide(F.sum("hits").over(above), F.sum("n").over(above))
-    rated = scored.select("kind", "score", rate.alias("rate"), "n", "seen", *FEATURES[1:])
-    least = F.min(F.when((F.col("rate") >= precision) & (F.col("n") > 0), F.col("score"))).over(
-        Window.partitionBy("kind")
+    rate = F.try_divide(F.sum(hits).over(above), F.sum(n).over(above))
+    rated = scored.withColumn("rate", rate)
+    least = F.min(F.when((F.col("rate") >= precision) & (F.col(n) > 0), F.col(score))).over(kind)
+    votes = F.sum(n).over(kind) > 0
+    passes = F.when(votes, F.coalesce(F.col(score) >= least, F.lit(False)))
+    return rated.withColumn(f"passes_{label}", passes).drop("rate"), weights
+
+
+def fit(found: DataFrame, scratch: Scratch, precision: float = PRECISION) -> PersonalModel:
+    """Learns from the rows of ``candidates`` which proposals to take."""
+    exploded = found.select(F.explode("proposed").alias("c")).select(
+        "c.proposal", "c.form", "c.told", "c.features.*"
     )
-    taken = rated.withColumn("least", least).where("score >= least and seen > n")
-    return PersonalModel(
-        [r.key for r in taken.select(_key(F.struct(*FEATURES)).alias("key")).collect()]
+    cells = exploded.groupBy(*FEATURES).agg(
+        F.count(F.when(F.col("proposal"), 1)).alias("seen"),
+        *[
+            counted.alias(f"{name}_{label}")
+            for label in ("form", "told")
+            for name, counted in (
+                ("n", F.count(label)), ("hits", F.coalesce(F.sum(label), F.lit(0)))
+            )
+        ],
+    )
+    cells = scratch.keep(cells, "feature-cells")
+    weights: dict[str, float] = {}
+    for view, label in ((CONTEXT, "form"), (FORMAT, "told")):
+        cells, learned = _viewed(cells, view, label, precision)
+        weights |= {f"{label}: {name}": weight for name, weight in learned.items()}
+    cells = scratch.keep(cells, "scored-cells")
+    votes = F.array_compact(F.array("passes_form", "passes_told"))
+    taken = cells.where((F.col("seen") > 0) & (F.size(votes) > 0) & F.forall(votes, lambda v: v))
+    keys = taken.select(_key(F.struct(*FEATURES)).alias("key")).collect()
+    return PersonalModel(sorted(r.key for r in keys), cells, weights)
+
+
+def _clear(asked: Column, taken: Column) -> Column:
+    """The spans of ``asked`` that overlap none of ``taken``, in one sweep in order of start."""
+
+    def events(found: Column, asks: int) -> Column:
+        return F.transform(
+            found,
+            lambda s: F.struct(s["start"], F.lit(asks).alias("asks"), s["rank"], s["end"]),
+        )
+
+    def sweep(every: Column) -> Column:
+        ends = F.transform(every, lambda s: F.when(s["asks"] == 0, s["end"]).otherwise(_LOWEST))
+        starts = F.transform(
+            F.reverse(every), lambda s: F.when(s["asks"] == 0, -s["start"]).otherwise(_LOWEST)
+        )
+        # The furthest end before each event and the nearest start behind it.
+        sides = F.zip_with(
+            _running(ends, _furthest, _LOWEST),
+            F.reverse(_running(starts, _furthest, _LOWEST)),
+            lambda left, right: F.struct(left.alias("left"), right.alias("right")),
+        )
+        judged = F.zip_with(
+            every,
+            sides,
+            lambda s, side: F.struct(
+                s.alias("span"),
+                (
+                    (s["asks"] == 1) & (side["left"] <= s["start"]) & (side["right"] <= -s["end"])
+                ).alias("free"),
+            ),
+        )
+        return F.transform(
+            F.filter(judged, lambda j: j["free"]),
+            lambda j: F.struct(j["span"]["start"], j["span"]["rank"], j["span"]["end"]),
+        )
+
+    return F.when(F.size(asked) == 0, asked).otherwise(
+        let(F.array_sort(F.concat(events(asked, 1), events(taken, 0))), sweep)
     )
 
 
@@ -294,27 +396,29 @@ def spans(found: DataFrame, model: PersonalModel) -> DataFrame:
     overlaps neither a base span nor an added one of a kind listed before.
     """
     taken = F.array(*[F.lit(key) for key in model.accepted]).cast("array<string>")
-
-    def fresh(c: Column) -> Column:
-        clear = ~F.exists(
-            F.col("base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])
-        )
-        return c["label"].isNull() & F.array_contains(taken, _key(c["features"])) & clear
-
     if not model.accepted:
         return found.select("doc", "base", F.col("base").alias("spans"))
-    added = F.transform(
-        F.filter(F.col("proposed"), fresh), lambda c: F.struct(c["start"], c["rank"], c["end"])
-    )
-    rows = found.select("doc", "base", added.alias("added"))
-    apart = F.filter(
-        F.col("added"),
-        lambda c: ~F.exists(
-            F.col("added"),
-            lambda o: (o["rank"] < c["rank"]) & (o["start"] < c["end"]) & (c["start"] < o["end"]),
+    asked = F.transform(
+        F.filter(
+            F.col("proposed"), lambda c: c["proposal"] & F.array_contains(taken, _key(c["features"]))
         ),
+        lambda c: F.struct(c["start"], c["rank"], c["end"]),
+    )
+    rows = found.select("doc", "base", asked.alias("asked"))
+    rows = rows.select("doc", "base", _clear(F.col("asked"), F.col("base")).alias("added"))
+
+    def of(test: Callable[[Column], Column]) -> Column:
+        return F.filter(F.col("added"), lambda s: test(s["rank"]))
+
+    apart = [of(lambda rank: rank == 0)]
+    for kind in range(1, len(KINDS)):
+        apart.append(
+            _clear(of(lambda rank, k=kind: rank == k), of(lambda rank, k=kind: rank < k))
+        )
+    every = F.array_sort(F.concat("base", *apart))
+    return rows.select(
+        "doc", "base", F.when(F.size("added") == 0, F.col("base")).otherwise(every).alias("spans")
     )
-    return rows.select("doc", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
 
 
 def count_kind(found: Column, kind: str) -> Column:
@@ -340,30 +444,49 @@ def detect(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def redacted(text: Column, found: Column) -> Column:
-    """``text`` with each stretch that spans cover replaced by the kind of its first span."""
+    """``text`` with each stretch that spans cover replaced by the kind of its first span.
+
+    ``found`` in order of start.
+    """
     kinds = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        parts = F.concat(acc["parts"], F.array(gap, F.get(kinds, s["rank"])))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(apart, parts).otherwise(acc["parts"]).alias("parts"),
+    def cut(blocks: Column, low: Column, high: Column) -> Column:
+        """Code points ``low`` to ``high``: two parts of blocks and whole ones between."""
+        first, last = F.floor(low / _BLOCK).cast("int"), F.floor(high / _BLOCK).cast("int")
+        head = F.coalesce(F.get(blocks, first), F.lit(""))
+        tail = F.substring(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), high % _BLOCK)
+        whole = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        after = F.substring(head, low % _BLOCK + 1, F.lit(_BLOCK))
+        return F.when(
+            first == last, F.substring(head, low % _BLOCK + 1, high - low)
+        ).otherwise(F.concat(after, whole, tail))
+
+    def rewritten(parts: Column) -> Column:
+        stretches = F.filter(
+            F.zip_with(
+                parts["found"],
+                _running(F.transform(parts["found"], lambda s: s["end"]), _furthest, 0),
+                lambda s, reach: F.struct(s.alias("span"), reach.alias("reach")),
+            ),
+            lambda s: s["span"]["start"] >= s["reach"],
         )
-
-    rest = F.char_length(text)
-    return F.when(F.size(found) == 0, text).otherwise(
-        F.aggregate(
-            found,
-            start,
-            step,
-            lambda acc: F.concat(
-                F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, rest)
+        pieces = F.transform(
+            stretches,
+            lambda s: F.concat(
+                cut(parts["blocks"], s["reach"], s["span"]["start"]),
+                F.get(kinds, s["span"]["rank"]),
             ),
         )
+        furthest = F.array_max(F.transform(parts["found"], lambda s: s["end"]))
+        return F.concat(
+            F.array_join(pieces, ""), cut(parts["blocks"], furthest, parts["size"])
+        )
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    parts = F.struct(
+        blocks.alias("blocks"), found.alias("found"), F.char_length(text).alias("size")
     )
+    return F.when(F.size(found) == 0, text).otherwise(let(parts, rewritten))
 
 
 def redact(docs: DataFrame, scratch: Scratch) -> DataFrame:

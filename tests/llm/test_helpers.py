@@ -111,7 +111,8 @@ SPOKEN = (
 
 @pytest.fixture(scope="module")
 def spoken(spark):
-    docs = spark.createDataFrame([(SPOKEN,)] * 50, "text string")
+    cyrillic = "\u043e\u043d \u0441\u043a\u0430\u0437\u0430\u043b \u0438\u0434\u0438\u043e\u0442 \u0438 \u0443\u0448\u0435\u043b \u0434\u043e\u043c\u043e\u0439"
+    docs = spark.createDataFrame([(SPOKEN,), (cyrillic,)] * 50, "text string")
     return toxicity.letter_model(docs)
 
 

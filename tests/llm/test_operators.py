@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -240,6 +242,70 @@ def test_personal_written_forms_are_proposed(frame, scratch):
     assert by[0] == "write to <PHONE>, please"
 
 
+def test_personal_context_has_weight(frame, scratch):
+    """Neither view sees what its labels are computed from; the context decides as well."""
+    texts = [f"host 1.2.3.{i} up" for i in range(200)] + [f"version 1.2.{300 + i}.4 out" for i in range(60)]
+    texts += [f"the mail ana{i}@example.org, or else" for i in range(60)] + [f"token x{i}@build.7 set" for i in range(40)]
+    texts += ["version 1.2.3.4 out", "host 1 . 2 . 3 . 4 up", "version 1 . 2 . 3 . 4 out"]
+    docs = frame(texts)
+    found = personal.candidates(docs)
+    model = personal.fit(found, scratch)
+    assert model.weights["form: speaks"] > 0.1
+    assert not {"form: checked", "form: digits", "told: speaks", "told: before"} & set(model.weights)
+    score = {
+        (r.kind, r.speaks): r.score
+        for r in model.cells.groupBy("kind", "speaks").agg(F.max("score_form").alias("score")).collect()
+    }
+    for kind in (0, 1):
+        assert score[kind, 1] > 0.5 > score[kind, 2]
+    by = {r.doc.doc_id: r.spans for r in personal.spans(found, model).collect()}
+    n = len(texts)
+    assert [tuple(s) for s in by[n - 2]] == [(5, 1, 18)] and by[n - 1] == []
+    assert [tuple(s) for s in by[n - 3]] == [(8, 1, 15)]  # base spans stay
+
+
+def _brute_clear(asked, taken):
+    return sorted(a for a in asked if not any(t[0] < a[2] and a[0] < t[2] for t in taken))
+
+
+def test_personal_sweep_and_redaction_against_brute_force(spark):
+    draws = random.Random(5)
+
+    def some(n):
+        starts = [draws.randrange(0, 1500) for _ in range(n)]
+        return sorted({(a, draws.randrange(4), a + draws.randrange(1, 40)) for a in starts})
+
+    rows = []
+    for i in range(60):
+        text = "".join(draws.choice("ab é\U0001f600\n") for _ in range(draws.choice([1600, 2048, 4100])))
+        rows.append((i, text, some(draws.choice([0, 1, 5, 40, 600])), some(draws.choice([0, 1, 5, 40, 600]))))
+    kind = "array<struct<start:int,rank:int,end:int>>"
+    docs = spark.createDataFrame(rows, f"i int, text string, asked {kind}, taken {kind}")
+    got = docs.select(
+        "i", personal._clear(F.col("asked"), F.col("taken")).alias("clear"),
+        personal.redacted(F.col("text"), F.col("asked")).alias("redacted"),
+    )
+    for r in got.collect():
+        _, text, asked, taken = rows[r.i]
+        assert sorted(tuple(s) for s in r.clear) == _brute_clear(asked, taken)
+        want, at = [], 0
+        for low, rank, high in asked:
+            if low >= at:
+                want += [text[at:low], f"<{personal.KINDS[rank].upper()}>"]
+            at = max(at, high)
+        assert r.redacted == "".join(want) + text[at:]
+
+
+def test_personal_many_spans_in_one_text(spark):
+    n = 16_000
+    docs = spark.createDataFrame([("mail a.b@example.org now " * n,)], "text string")
+    spans = F.expr(f"transform(sequence(0, {n - 1}), i -> struct(25 * i + 5 as start, 0 as rank, 25 * i + 20 as end))")
+    begun = time.time()
+    got = docs.select(personal.redacted(F.col("text"), spans).alias("t")).first().t
+    assert got == "mail <EMAIL> now " * n
+    assert time.time() - begun < 20
+
+
 def test_personal_odd_rows(odd, nothing, scratch):
     assert personal.redact(odd, scratch).count() == N
     assert personal.redact(nothing, scratch).count() == 0
