@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from inspectstar.llm.common import schema_with_doc, wrapped
 from inspectstar.llm.words import Slice, distinct_counts, slices, span_hashes
+from inspectstar.scratch import Scratch
 
 TRAINING_ROWS = 500_000
 FOURIER = 160
@@ -153,9 +154,17 @@ def isotonic(n: np.ndarray, hits: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(k, (hit + 0.5) / (size + 1)) for size, hit, k in blocks])
 
 
-def fit(rows: DataFrame, limit: int = TRAINING_ROWS) -> QualityModel:
-    """Learns from ``rows`` (doc_id, stats, label), label 0 or 1."""
+def fit(
+    rows: DataFrame, limit: int = TRAINING_ROWS, scratch: Scratch | None = None
+) -> QualityModel:
+    """Learns from ``rows`` (doc_id, stats, label), label 0 or 1.
+
+    With ``scratch`` the labelled rows and the sample of them are written once; without it,
+    ``rows`` is computed for each of the three passes.
+    """
     rows = rows.where("doc_id is not null and label in (0, 1)")
+    if scratch is not None:
+        rows = scratch.keep(rows.select("doc_id", "stats", "label"), "labelled-statistics")
     # Statistics of the statistics: a handful of numbers.
     moments = rows.agg(
         F.count("*").alias("n"),
@@ -172,7 +181,9 @@ def fit(rows: DataFrame, limit: int = TRAINING_ROWS) -> QualityModel:
     scale = np.where(scale > 1e-9, scale, 1.0)
     if moments.n > limit:
         share = int(limit / moments.n * (1 << 31))
-        rows = rows.where(F.abs(F.hash("doc_id")) < share)
+        rows = rows.where(F.pmod(F.hash("doc_id"), F.lit(1 << 31)) < share)
+        if scratch is not None:
+            rows = scratch.keep(rows, "sampled-statistics")
     width = FOURIER + 1
     upper = np.triu_indices(width)
 

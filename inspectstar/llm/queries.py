@@ -124,9 +124,11 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    described = Scratch(spark).keep(quality.describe(docs), "statistics")
+    scratch = Scratch(spark)
+    described = scratch.keep(quality.describe(docs), "statistics")
     rows = described.select("doc.doc_id", "stats")
-    model = quality.fit(rows.join(_labelled(spark, sf_dir, "quality"), "doc_id"))
+    labelled = rows.join(_labelled(spark, sf_dir, "quality"), "doc_id")
+    model = quality.fit(labelled, scratch=scratch)
     return quality.score(described, model).select(
         "doc.doc_id",
         (fold(F.col("doc.doc_id"), 3) == 1).alias("held_out"),

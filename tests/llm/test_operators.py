@@ -406,6 +406,17 @@ def test_quality_learns(spark, frame, scratch):
     assert all((r.score >= 0.5) == (r.doc_id % 2 == 0) for r in scored if r.doc_id >= 90)
 
 
+def test_quality_learns_from_a_sample(spark, frame, scratch):
+    good = [prose(i, 40 + i % 50) + "." for i in range(300)]
+    bad = ["### " + prose(i, 40 + i % 50).upper() + "$$$ !!!" * 5 for i in range(300)]
+    docs = frame([t for pair in zip(good, bad, strict=True) for t in pair])
+    described = quality.describe(docs.select("doc_id", "text"))
+    rows = described.select("doc.doc_id", "stats", (1 - F.col("doc.doc_id") % 2).alias("label"))
+    model = quality.fit(rows, limit=200, scratch=scratch)
+    scored = quality.score(described, model).select("doc.doc_id", "score").collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 0) for r in scored)
+
+
 def test_quality_odd_rows(odd, nothing):
     described = quality.describe(odd)
     rows = described.select("doc.doc_id", "stats", F.lit(1).alias("label"))
