@@ -213,10 +213,16 @@ def _summary(table: str, part: str) -> str:
     key = " + ".join(f"coalesce({k}, 0)::hugeint" for k in keys)
     size = " + ".join(f"coalesce(strlen({t}), 0)::hugeint" for t in texts)
     own = f"coalesce({keys[0]}, 0)::hugeint"
+    row = " || ".join(
+        f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')"
+        for c in sorted(keys + texts)
+    )
+    digest = f"('0x' || substr(md5({row}), 1, 12))::bigint::hugeint"
     return (
         f"select '{table}' as table_name, count(*) as row_count, "
         f"cast(coalesce(sum({key}), 0) % 1000000000000000 as bigint) as key_sum, "
-        f"cast(coalesce(sum({own} * ({size})), 0) % 1000000000000000 as bigint) as key_text_sum "
+        f"cast(coalesce(sum({own} * ({size})), 0) % 1000000000000000 as bigint) as key_text_sum, "
+        f"cast(coalesce(sum({digest}), 0) % 1000000000000000 as bigint) as row_sum "
         f"from {part}"
     )
 

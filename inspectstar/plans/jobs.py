@@ -169,6 +169,15 @@ def _summary(df: DataFrame, table: str) -> DataFrame:
     size = total([F.coalesce(F.octet_length(c), F.lit(0)).cast("decimal(20,0)") for c in texts])
     own = F.coalesce(F.col(keys[0]), F.lit(0)).cast("decimal(20,0)")
 
+    def entry(name: str) -> Column:
+        """A value behind its length, so that no two rows read alike; null is a dash."""
+        text = F.col(name).cast("string")
+        size = F.octet_length(text).cast("string")
+        return F.coalesce(F.concat(size, F.lit(":"), text), F.lit("-"))
+
+    entries = [entry(c) for c in sorted(keys + texts)]
+    digest = F.conv(F.substring(F.md5(F.concat(*entries)), 1, 12), 16, 10)
+
     def summed(value: Column, name: str) -> Column:
         rest = F.coalesce(F.sum(value % SUMMARY_MODULUS), F.lit(0)) % SUMMARY_MODULUS
         return rest.cast("long").alias(name)
@@ -178,6 +187,7 @@ def _summary(df: DataFrame, table: str) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         summed(key, "key_sum"),
         summed((own * size).cast("decimal(38,0)"), "key_text_sum"),
+        summed(digest.cast("decimal(20,0)"), "row_sum"),
     )
 
 
@@ -185,7 +195,8 @@ def table_summaries(spark: SparkSession, schemas: Mapping[str, tuple[str, str]])
     """One row per stored table (name -> base folder, schema): rows, and what they hold.
 
     ``key_sum`` adds up all keys; ``key_text_sum`` ties the first key of each row to the
-    length of its texts.
+    length of its texts; ``row_sum`` adds up 48 bits of the md5 of each row's keys and texts, so
+    it does not depend on the order of rows, yet on every value and on what stands beside it.
     """
     summaries = [
         _summary(read_table(spark, base, table, schema), table)

@@ -167,6 +167,25 @@ def test_summaries_notice_a_shifted_key(spark, small_stage, tmp_path):
     assert sums.key_sum != shifted.key_sum and sums.key_text_sum != shifted.key_text_sum
 
 
+def test_summaries_notice_swapped_values(spark):
+    """Texts of equal length, or second keys, that change rows; the order of rows is nothing."""
+    schema = "A_SK int, B_SK int, T string"
+    rows = [(1, 5, "abc"), (2, 6, "xyz"), (3, None, None)]
+    found = {}
+    for name, changed in {
+        "same": rows[::-1],
+        "texts": [(1, 5, "xyz"), (2, 6, "abc"), rows[2]],
+        "keys": [(1, 6, "abc"), (2, 5, "xyz"), rows[2]],
+        "null": [rows[0], rows[1], (3, None, "")],
+    }.items():
+        found[name] = jobs._summary(spark.createDataFrame(changed, schema), "t").first()
+    want = jobs._summary(spark.createDataFrame(rows, schema), "t").first()
+    assert found["same"] == want
+    for name in ("texts", "keys", "null"):
+        assert found[name].row_sum != want.row_sum
+        assert (found[name].key_sum, found[name].key_text_sum) == (want.key_sum, want.key_text_sum)
+
+
 @pytest.mark.parametrize("one_by_one", [False, True])
 def test_command_line(spark, small_stage, tmp_path, monkeypatch, one_by_one):
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
