@@ -9,21 +9,30 @@ of hashes.
 
 Defined results: null and empty texts have no anchors and the fingerprint ''; a text
 without a closed syncmer has one anchor over all its words; equal texts have equal
-fingerprints; two texts without anchors have likeness 1, one with and one without 0.
+fingerprints; two texts without anchors have likeness 1, one with and one without 0. Ids are
+integers of at most 64 bits, however they are spread; rows of one id, and those without one,
+follow each other by a hash of the text, null texts first. A text is cut and hashed as a
+whole, at a cost in proportion to its length.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inspectstar.llm.common import let, wrapped
+from inspectstar.operators import null_safe, row_number
 from inspectstar.scratch import Scratch
 
 K, S = 5, 2
 PIECE = 16
-#: Documents of a range of ids that one task puts in order; ids are taken to be spread.
+#: Documents of a range of ids that one task puts in order.
 RANGE_ROWS = 2048
+#: A range of more than this many times as many is cut again.
+UNEVEN = 4
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
@@ -88,41 +97,107 @@ def likeness(a: Column, b: Column) -> Column:
     return let(sets, of)
 
 
+def _tie(text: Column) -> Column:
+    """The place of a text among the rows of one id."""
+    return F.when(text.isNull(), F.lit(-(2**63))).otherwise(F.xxhash64(text))
+
+
+def _cell(key: Column, low: Column, width: Column) -> Column:
+    """The lowest id of the cell that ``key`` falls into; differences may exceed 63 bits."""
+    key, low, width = (c.cast("decimal(20,0)") for c in (key, low, width))
+    return (low + F.call_function("div", key - low, width) * width).cast("long")
+
+
+def ranges(keys: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -> Callable:
+    """A function that adds ``cell`` and ``part``, a range of the order (id, tie), to a frame.
+
+    Its arguments are a frame, its id and its text. ``keys`` (doc_id, text) are counted in cells
+    of even width first. Cells that hold too many ids are cut again between the smallest
+    and the largest id they hold, until none does, and rows of a single id by their tie.
+    Only identical rows can keep a range large.
+    """
+    span = keys.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).first()
+    low, high = int(span.low or 0), int(span.high or 0)
+    width = max(1, -(-(high - low + 1) * range_rows // max(span.n, 1)))
+    levels: list[DataFrame] = []
+    ties: list[DataFrame] = []
+
+    def by_id(rows: DataFrame, key: Column) -> DataFrame:
+        cell = _cell(key, F.lit(Decimal(low)), F.lit(Decimal(width)))
+        rows = rows.withColumn("cell", cell)
+        for level in levels:
+            rows = rows.join(level, F.col("cell") == F.col("hot cell"), "left")
+            finer = _cell(key, F.col("hot low"), F.col("hot width"))
+            rows = rows.withColumn("cell", F.coalesce(finer, "cell")).drop(*level.columns)
+        return rows
+
+    def place(rows: DataFrame, key: Column, text: Column) -> DataFrame:
+        rows = by_id(rows, key).withColumn("part", F.lit(0).cast("long"))
+        for single in ties:
+            rows = rows.join(single, F.col("cell").eqNullSafe(F.col("hot cell")), "left")
+            share = (F.shiftright(_tie(text), 32) + F.lit(2**31)) * F.col("hot parts")
+            part = F.when(F.col("hot parts").isNotNull(), F.shiftright(share, 32)).otherwise(F.col("part"))
+            rows = rows.withColumn("part", part).drop(*single.columns)
+        return rows
+
+    while True:
+        sizes = by_id(keys.select("doc_id"), F.col("doc_id")).groupBy("cell").agg(
+            F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+        )
+        hot = scratch.keep(sizes.where(F.col("n") > UNEVEN * range_rows), "hot-cells")
+        wide = hot.where("low < high")
+        if wide.isEmpty():
+            break
+        ids = F.col("high").cast("decimal(20,0)") - F.col("low").cast("decimal(20,0)") + 1
+        # More than UNEVEN ranges are wanted of a cell, so its parts are narrower than itself.
+        share = F.call_function("div", ids * range_rows + F.col("n") - 1, F.col("n").cast("decimal(20,0)"))
+        levels.append(
+            wide.select(
+                F.col("cell").alias("hot cell"), F.col("low").alias("hot low"),
+                F.greatest(share, F.lit(1)).alias("hot width"),
+            )
+        )
+    if not hot.isEmpty():
+        parts = F.ceil(F.col("n") / range_rows).alias("hot parts")
+        ties.append(hot.select(F.col("cell").alias("hot cell"), parts))
+    return place
+
+
 def with_next(docs: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """(doc, hashes, next_text, next_hashes): each row and the next by doc_id, then text.
+    """(doc, hashes, next_text, next_hashes): each row and the next by doc_id, then tie.
 
-    After the last row comes the first. Null ids come first. Ids are cut into ranges; a
-    task orders a range and gets the head of the following one from a small table.
+    After the last row comes the first. Null ids come first. A task orders a range of ids
+    and gets the head of the following one from a small table.
     """
-    span = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).first()
-    low, width = span.low or 0, 1
-    if span.low is not None:
-        width = max(1, -(-(int(span.high) - int(span.low) + 1) * range_rows // max(span.n, 1)))
-
-    def part(key: Column) -> Column:
-        return F.coalesce(F.floor((key - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("long")
-
-    # One row per range: its first id, and the first id of the range after it.
-    heads = docs.groupBy(part(F.col("doc_id")).alias("part")).agg(F.min("doc_id").alias("head"))
-    order = Window.orderBy("part")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = heads.select(
-        "part",
-        F.coalesce(F.lead(F.struct("head")).over(order), F.first(F.struct("head")).over(whole)).alias("next"),
-    )
+    place = ranges(docs.select("doc_id", "text"), scratch, range_rows)
+    texts = place(docs.select("doc_id", "text"), F.col("doc_id"), F.col("text"))
+
+    # One row per range: its first id, and the range after it.
+    here = texts.groupBy("cell", "part").agg(F.min("doc_id").alias("head"))
+    numbered = scratch.keep(row_number(here, ["cell", "part"], "number", scratch), "ranges")
+    before = numbered.select(
+        F.col("cell").alias("for cell"), F.col("part").alias("for part"),
+        (F.col("number") % F.lit(max(numbered.count(), 1)) + 1).alias("following"),
+    )
+    following = numbered.join(before, F.col("number") == F.col("following"))
+    following = following.withColumnsRenamed({"cell": "next cell", "part": "next part"})
     following = scratch.keep(following, "following-heads")
-    texts = docs.select("doc_id", "text").join(
-        following, F.col("doc_id").eqNullSafe(F.col("next.head"))
-    )
+    same = [("cell", "next cell"), ("part", "next part"), ("doc_id", "head")]
+    firsts = texts.join(following, null_safe(same))
     # min() of a struct keeps a null text as the smallest, as the order below does.
-    head_texts = texts.groupBy("part").agg(F.min(F.struct("text")).alias("head"))
-    head_texts = scratch.keep(head_texts, "head-texts").withColumnRenamed("part", "head_part")
+    head_texts = firsts.groupBy("for cell", "for part").agg(
+        F.min(F.struct(_tie(F.col("text")).alias("tie"), "text")).alias("first")
+    )
+    head_texts = head_texts.select("for cell", "for part", F.struct("first.text").alias("head"))
+    head_texts = scratch.keep(head_texts, "head-texts")
 
-    placed = wrapped(docs).withColumn("part", part(F.col("doc.doc_id")))
-    dealt = placed.repartition("part").withColumn("hashes", anchors(F.col("doc.text"))["hash"])
-    inside = Window.partitionBy("part").orderBy("doc.doc_id", "doc.text")
+    placed = place(wrapped(docs), F.col("doc.doc_id"), F.col("doc.text"))
+    dealt = placed.repartition("cell", "part").withColumn("hashes", anchors(F.col("doc.text"))["hash"])
+    inside = Window.partitionBy("cell", "part").orderBy(
+        "doc.doc_id", _tie(F.col("doc.text")), "doc.text"
+    )
     led = dealt.withColumn("next", F.lead(F.struct("doc.text", "hashes")).over(inside))
-    led = led.join(head_texts, F.col("part") == F.col("head_part"), "left")
+    led = led.join(head_texts, null_safe([("cell", "for cell"), ("part", "for part")]), "left")
     last = F.col("next").isNull()
     return led.select(
         "doc",

@@ -123,6 +123,44 @@ def test_fingerprints_odd_rows(odd, nothing, scratch):
     assert fingerprints.with_next(nothing, scratch).count() == 0
 
 
+def _brute_next(rows):
+    order = sorted(rows, key=lambda r: (r.doc.doc_id is not None, r.doc.doc_id or 0))
+    return order, [*order[1:], order[0]]
+
+
+def test_ranges_stay_even_wherever_ids_lie(spark, scratch):
+    """An outlier each way, dense sources far apart, and ids that double."""
+    ids = [*range(300), *(2**40 + i for i in range(300)), *(2**i for i in range(20, 63)), -(2**63), 2**63 - 1]
+    docs = spark.createDataFrame([(i, prose(n, 8)) for n, i in enumerate(sorted(set(ids)))], "doc_id long, text string")
+    rows = 4
+    place = fingerprints.ranges(docs, scratch, rows)
+    sizes = place(docs, F.col("doc_id"), F.col("text")).groupBy("cell", "part").count()
+    assert max(r["count"] for r in sizes.collect()) <= fingerprints.UNEVEN * rows
+    order, after = _brute_next(fingerprints.with_next(docs, scratch, rows).collect())
+    assert len(order) == len(set(ids))
+    assert [r.next_text for r in order] == [r.doc.text for r in after]
+    assert [r.next_hashes for r in order] == [r.hashes for r in after]
+
+
+def test_ranges_cut_rows_of_one_id(spark, scratch):
+    """A repeated id and missing ids: every row has one successor, each row is one."""
+    rows = [(i, prose(n, 8)) for n, i in enumerate([None] * 60 + [5] * 60 + [6, 7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    place = fingerprints.ranges(docs, scratch, 4)
+    sizes = place(docs, F.col("doc_id"), F.col("text")).groupBy("cell", "part").count()
+    assert max(r["count"] for r in sizes.collect()) <= 16
+    got = fingerprints.with_next(docs, scratch, 4).collect()
+    follows = {r.doc.text: r.next_text for r in got}
+    assert sorted(follows.values()) == sorted(t for _, t in rows)
+    start = at = follows[rows[-1][1]]
+    ids = {t: i for i, t in rows}
+    walk = []
+    while not walk or at != start:
+        walk.append(ids[at])
+        at = follows[at]
+    assert walk == [None] * 60 + [5] * 60 + [6, 7]
+
+
 def test_likeness(spark):
     rows = spark.createDataFrame(
         [([1, 2, 3, 3], [2, 3, 4]), ([], []), ([], [1])], "a array<long>, b array<long>"
