@@ -109,7 +109,7 @@ def _cell(key: Column, low: Column, width: Column) -> Column:
 
 
 def ranges(keys: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -> Callable:
-    """A function that adds ``cell`` and ``part``, a range of the order (id, tie), to a frame.
+    """A function that adds ``range``, a number that ascends with (id, tie), to a frame.
 
     Its arguments are a frame, its id and its text. ``keys`` (doc_id, text) are counted in cells
     of even width first. Cells that hold too many ids are cut again between the smallest
@@ -138,7 +138,10 @@ def ranges(keys: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -> C
             share = (F.shiftright(_tie(text), 32) + F.lit(2**31)) * F.col("hot parts")
             part = F.when(F.col("hot parts").isNotNull(), F.shiftright(share, 32)).otherwise(F.col("part"))
             rows = rows.withColumn("part", part).drop(*single.columns)
-        return rows
+        # One number, never null: what is dealt by it can be joined by it without a shuffle.
+        cell = F.coalesce(F.col("cell").cast("decimal(20,0)"), F.lit(Decimal(-(2**63) - 1)))
+        number = (cell * F.lit(Decimal(2**32)) + F.col("part")).cast("decimal(38,0)")
+        return rows.withColumn("range", number).drop("cell", "part")
 
     while True:
         sizes = by_id(keys.select("doc_id"), F.col("doc_id")).groupBy("cell").agg(
@@ -173,31 +176,28 @@ def with_next(docs: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -
     texts = place(docs.select("doc_id", "text"), F.col("doc_id"), F.col("text"))
 
     # One row per range: its first id, and the range after it.
-    here = texts.groupBy("cell", "part").agg(F.min("doc_id").alias("head"))
-    numbered = scratch.keep(row_number(here, ["cell", "part"], "number", scratch), "ranges")
+    here = texts.groupBy("range").agg(F.min("doc_id").alias("head"))
+    numbered = scratch.keep(row_number(here, ["range"], "number", scratch), "ranges")
     before = numbered.select(
-        F.col("cell").alias("for cell"), F.col("part").alias("for part"),
+        F.col("range").alias("for range"),
         (F.col("number") % F.lit(max(numbered.count(), 1)) + 1).alias("following"),
-    )
+    )
     following = numbered.join(before, F.col("number") == F.col("following"))
-    following = following.withColumnsRenamed({"cell": "next cell", "part": "next part"})
-    following = scratch.keep(following, "following-heads")
-    same = [("cell", "next cell"), ("part", "next part"), ("doc_id", "head")]
+    following = scratch.keep(following.withColumnRenamed("range", "next range"), "following-heads")
+    same = [("range", "next range"), ("doc_id", "head")]
     firsts = texts.join(following, null_safe(same))
     # min() of a struct keeps a null text as the smallest, as the order below does.
-    head_texts = firsts.groupBy("for cell", "for part").agg(
+    head_texts = firsts.groupBy("for range").agg(
         F.min(F.struct(_tie(F.col("text")).alias("tie"), "text")).alias("first")
     )
-    head_texts = head_texts.select("for cell", "for part", F.struct("first.text").alias("head"))
+    head_texts = head_texts.select("for range", F.struct("first.text").alias("head"))
     head_texts = scratch.keep(head_texts, "head-texts")
 
     placed = place(wrapped(docs), F.col("doc.doc_id"), F.col("doc.text"))
-    dealt = placed.repartition("cell", "part").withColumn("hashes", anchors(F.col("doc.text"))["hash"])
-    inside = Window.partitionBy("cell", "part").orderBy(
-        "doc.doc_id", _tie(F.col("doc.text")), "doc.text"
-    )
+    dealt = placed.repartition("range").withColumn("hashes", anchors(F.col("doc.text"))["hash"])
+    inside = Window.partitionBy("range").orderBy("doc.doc_id", _tie(F.col("doc.text")), "doc.text")
     led = dealt.withColumn("next", F.lead(F.struct("doc.text", "hashes")).over(inside))
-    led = led.join(head_texts, null_safe([("cell", "for cell"), ("part", "for part")]), "left")
+    led = led.join(head_texts, F.col("range") == F.col("for range"), "left")
     last = F.col("next").isNull()
     return led.select(
         "doc",

@@ -134,7 +134,7 @@ def test_ranges_stay_even_wherever_ids_lie(spark, scratch):
     docs = spark.createDataFrame([(i, prose(n, 8)) for n, i in enumerate(sorted(set(ids)))], "doc_id long, text string")
     rows = 4
     place = fingerprints.ranges(docs, scratch, rows)
-    sizes = place(docs, F.col("doc_id"), F.col("text")).groupBy("cell", "part").count()
+    sizes = place(docs, F.col("doc_id"), F.col("text")).groupBy("range").count()
     assert max(r["count"] for r in sizes.collect()) <= fingerprints.UNEVEN * rows
     order, after = _brute_next(fingerprints.with_next(docs, scratch, rows).collect())
     assert len(order) == len(set(ids))
@@ -147,7 +147,7 @@ def test_ranges_cut_rows_of_one_id(spark, scratch):
     rows = [(i, prose(n, 8)) for n, i in enumerate([None] * 60 + [5] * 60 + [6, 7])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     place = fingerprints.ranges(docs, scratch, 4)
-    sizes = place(docs, F.col("doc_id"), F.col("text")).groupBy("cell", "part").count()
+    sizes = place(docs, F.col("doc_id"), F.col("text")).groupBy("range").count()
     assert max(r["count"] for r in sizes.collect()) <= 16
     got = fingerprints.with_next(docs, scratch, 4).collect()
     follows = {r.doc.text: r.next_text for r in got}
