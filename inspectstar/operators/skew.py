@@ -19,14 +19,22 @@ class Limits:
     ``rows_per_task`` bounds the rows of one key in a lookup, ``pairs_per_task`` the output
     of one task in a many-to-many join: about 128 MB of fact rows. Both grow where more
     than ``hot_keys`` keys would exceed them, so the list of hot keys, which is broadcast,
-    has a fixed size whatever the data.
+    has a fixed size whatever the data. An output of more than ``full_tasks`` such tasks gives
+    each task more, up to ``most_pairs_per_task``: its files grow before their number does.
     """
 
     broadcast_bytes: int = 32 * 1024 * 1024
     rows_per_task: int = 2_000_000
     pairs_per_task: int = 1_000_000
+    most_pairs_per_task: int = 32_000_000
+    full_tasks: int = 400
     hot_keys: int = 10_000
 
+    def share(self, pairs: int) -> int:
+        """The pairs of one task, of ``pairs`` in all."""
+        wanted = min(-(-pairs // self.full_tasks), self.most_pairs_per_task)
+        return max(wanted, self.pairs_per_task)
+
 
 def null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
     """Equality on every pair of columns, NULL matching NULL."""
@@ -136,7 +144,7 @@ def hot_groups(
     groups: DataFrame, on: Mapping[str, str], pairs: int, limits: Limits
 ) -> DataFrame:
     """Groups with more pairs than one task should emit, cut to cells of about that many."""
-    share = max(limits.pairs_per_task, -(-pairs // limits.hot_keys))
+    share = max(limits.share(pairs), -(-pairs // limits.hot_keys))
     side = int(share**0.5)
     return groups.where(_pairs() > share).select(
         *on,
@@ -160,7 +168,7 @@ def join_groups(
     beforehand. It alone sets the number of tasks, and hot groups are cut into cells.
     """
     pairs = count_pairs(groups)
-    shares = math.ceil(pairs / limits.pairs_per_task)
+    shares = math.ceil(pairs / limits.share(pairs))
     hot = hot_groups(groups, on, pairs, limits)
     # Cells fall into tasks by hash: leave some room.
     return spread_join(left, right, on, hot, left_id, right_id, tasks=max(1, 2 * shares))

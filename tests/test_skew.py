@@ -10,7 +10,16 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from inspectstar import schema as names
-from inspectstar.operators import Limits, Lookup, hot_keys, match_all, spread_join, star_lookup
+from inspectstar.operators import (
+    Limits,
+    Lookup,
+    group_pairs,
+    hot_keys,
+    join_groups,
+    match_all,
+    spread_join,
+    star_lookup,
+)
 from inspectstar.operators.skew import _cells
 from inspectstar.plans.dimensions import DIMENSIONS, build_dimension
 from inspectstar.plans.inspections import (
@@ -146,3 +155,29 @@ def test_a_third_of_all_rows_in_one_group(spark, scratch):
     assert fact.where("PHONE is null").count() == hot_places * hot_codes
     keys = sorted(r[0] for r in fact.select("INSPECTION_VIOLATION_SK").collect())
     assert keys == list(range(1, len(keys) + 1))
+
+
+def test_share_of_a_task_grows_with_the_output():
+    limits = Limits()
+    pairs = [0, 1, 10**6, 4 * 10**8, 10**9, 10**10, 10**12]
+    shares = [limits.share(n) for n in pairs]
+    assert shares[:4] == [1_000_000] * 4  # small outputs keep their many tasks
+    assert shares == sorted(shares) and shares[4] == 2_500_000
+    assert shares[-1] == limits.most_pairs_per_task
+    # Neither fewer tasks for a larger output, nor millions of them.
+    tasks = [n / share for n, share in zip(pairs, shares, strict=True)]
+    assert tasks == sorted(tasks) and tasks[-1] < 32_000
+
+
+def test_grown_shares_give_the_same_pairs(spark):
+    """Hot groups cut to cells of the least share, and of a larger one, hold the same rows."""
+    rows = spark.range(300).selectExpr("id AS l", "if(id < 200, 1, id) AS k")
+    other = spark.range(200).selectExpr("id AS r", "if(id < 150, 1, id + 100) AS m")
+    groups = group_pairs(rows, other, {"k": "m"})
+    found = []
+    for limits in (Limits(pairs_per_task=50), Limits(pairs_per_task=50, full_tasks=7, most_pairs_per_task=6_000)):
+        pairs = join_groups(rows, other, {"k": "m"}, groups, "l", "r", limits)
+        found.append((sorted(map(tuple, pairs.select("l", "r").collect())), pairs.rdd.getNumPartitions()))
+    assert found[0][0] == found[1][0]
+    assert len(found[0][0]) == 200 * 150 + 50
+    assert found[1][1] < found[0][1]
