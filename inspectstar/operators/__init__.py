@@ -12,6 +12,7 @@ from inspectstar.operators.numbering import (
     assign_key,
     check_keys,
     dense_running_total,
+    narrowest_key,
     row_number,
 )
 from inspectstar.operators.skew import (
@@ -35,6 +36,7 @@ __all__ = [
     "join_groups",
     "lookup",
     "match_all",
+    "narrowest_key",
     "null_safe",
     "reduced_star_lookup",
     "row_number",

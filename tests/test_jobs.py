@@ -14,8 +14,10 @@ from inspectstar.__main__ import JOBS, main
 from inspectstar.operators import Limits, numbering
 from inspectstar.plans import jobs
 from inspectstar.plans.dimensions import SPECS
+from inspectstar.queries import QUERIES
 from inspectstar.scratch import Scratch, shared_folder
 from inspectstar.sources import read_stage, read_table
+from tests.conftest import TESTDATA, tuples
 
 
 def _tables(spark, root):
@@ -197,3 +199,18 @@ def test_command_line(spark, small_stage, tmp_path, monkeypatch, one_by_one):
     facts = f"{tmp_path}/facts"
     assert read_table(spark, facts, names.INSPECTIONS).count() > 100
     assert read_table(spark, facts, names.VIOLATIONS).count() > 100
+
+
+def test_violations_beyond_int_keys(spark, monkeypatch):
+    """Numbers widen where an int cannot hold them; the tables keep every row."""
+    sf_dir = f"{TESTDATA}/sf0.001"
+    want = QUERIES["fact_violations"](spark, sf_dir)
+    assert dict(want.dtypes)["INSPECTION_VIOLATION_SK"] == "int"
+    want = tuples(want)
+    monkeypatch.setattr(numbering, "MOST_INT_KEYS", 10_000)
+    for name in ("fact_violations", "job_violations"):
+        got = QUERIES[name](spark, sf_dir)
+        assert dict(got.dtypes)["INSPECTION_VIOLATION_SK"] == "bigint"
+        assert tuples(got.select(*names.VIOLATION_COLUMNS, *names.AUDIT_COLUMNS)) == want
+    summary = QUERIES["job_full_build"](spark, sf_dir).where(F.col("table_name") == names.VIOLATIONS)
+    assert summary.first().row_count == len(want)
