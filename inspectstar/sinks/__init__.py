@@ -1,5 +1,5 @@
-"""Writers: whole-table Parquet overwrite, partitioned overwrite, staging."""
+"""Writers: whole-table Parquet overwrite, partitioned overwrite, staging, JSON records."""
 
-from inspectstar.sinks.tables import overwrite, write_stage
+from inspectstar.sinks.tables import overwrite, write_records, write_stage
 
-__all__ = ["overwrite", "write_stage"]
+__all__ = ["overwrite", "write_records", "write_stage"]

@@ -214,3 +214,11 @@ def test_violations_beyond_int_keys(spark, monkeypatch):
         assert tuples(got.select(*names.VIOLATION_COLUMNS, *names.AUDIT_COLUMNS)) == want
     summary = QUERIES["job_full_build"](spark, sf_dir).where(F.col("table_name") == names.VIOLATIONS)
     assert summary.first().row_count == len(want)
+
+
+def test_ingested_records_are_compressed_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr("inspectstar.sinks.tables.RECORDS_PER_FILE", 1_000, raising=False)
+    got = QUERIES["src_json_ingest"](spark, f"{TESTDATA}/sf0.001")
+    files = got.inputFiles()
+    assert all(f.endswith(".json.gz") for f in files)
+    assert len(files) >= 6 and got.count() == 6_000
