@@ -131,9 +131,16 @@ def sink_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(stage.schema).parquet(path)
 
 
+#: Staging rows of one file where they are dealt out: about 230 MB as they are shuffled.
+ROWS_PER_FILE = 1_000_000
+
+
 def sink_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("stage")
-    write_stage(derive_stage(spark, sf_dir), path, spark.sparkContext.defaultParallelism)
+    # At most one staging row per line item, which are counted from the footers.
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    files = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE))
+    write_stage(derive_stage(spark, sf_dir), path, files)
     return read_stage(spark, path)
 
 

@@ -222,3 +222,10 @@ def test_ingested_records_are_compressed_and_bounded(spark, monkeypatch):
     files = got.inputFiles()
     assert all(f.endswith(".json.gz") for f in files)
     assert len(files) >= 6 and got.count() == 6_000
+
+
+def test_staging_is_dealt_to_files_by_its_rows(spark, monkeypatch):
+    monkeypatch.setattr("inspectstar.queries.ROWS_PER_FILE", 300, raising=False)
+    got = QUERIES["sink_repartition"](spark, f"{TESTDATA}/sf0.001")
+    assert len(got.inputFiles()) == max(20, spark.sparkContext.defaultParallelism)
+    assert got.count() == 6_000
