@@ -17,6 +17,7 @@ from inspectstar.operators.numbering import (
 )
 from inspectstar.operators.skew import (
     Limits,
+    distinct_rows,
     group_pairs,
     hot_keys,
     join_groups,
@@ -31,6 +32,7 @@ __all__ = [
     "assign_key",
     "check_keys",
     "dense_running_total",
+    "distinct_rows",
     "group_pairs",
     "hot_keys",
     "join_groups",

@@ -36,6 +36,27 @@ class Limits:
         return max(wanted, self.pairs_per_task)
 
 
+#: Rows that a task of ``distinct_rows`` takes in, about; over how many parts a key is dealt.
+DISTINCT_ROWS = 1_000_000
+DEALS = 16
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """``rows.distinct()`` of a stored table, whose tasks hold a bounded number of rows.
+
+    A stored table of few bytes a row has many rows in a scan's task, each of which would get its
+    place in that task's hash table. The rows are dealt to smaller tasks first, by a hash of
+    their values and a number from 0 to ``DEALS``, so that repeats mostly meet there and a row
+    that fills the table still has several tasks. The table is counted from its footers.
+    """
+    tasks = -(-rows.count() // DISTINCT_ROWS)
+    if tasks <= 1:
+        return rows.distinct()
+    deal = F.pmod(F.monotonically_increasing_id(), F.lit(DEALS)).alias("__deal")
+    dealt = rows.select("*", deal).repartition(tasks, *rows.columns, "__deal")
+    return dealt.drop("__deal").distinct()
+
+
 def null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
     """Equality on every pair of columns, NULL matching NULL."""
     return reduce(and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in pairs))

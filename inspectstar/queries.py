@@ -11,6 +11,7 @@ from inspectstar import schema as names
 from inspectstar.functions import audit_columns, first_non_null, first_row, try_casts
 from inspectstar.operators import (
     assign_key,
+    distinct_rows,
     match_all,
     narrowest_key,
     null_safe,
@@ -240,7 +241,7 @@ def join_lookup_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     address = address_lookup(
         dims[names.ADDRESSES], scratch, ("ADDRESS_SK", "ADDRESS_CANDIDATES")
     )
-    return star_lookup(stage.select(*INSPECTION_GRAIN).distinct(), [address], scratch)
+    return star_lookup(distinct_rows(stage.select(*INSPECTION_GRAIN)), [address], scratch)
 
 
 def _inspections(

@@ -9,7 +9,7 @@ import re
 import pytest
 
 from inspectstar import schema as names
-from inspectstar.operators import Limits
+from inspectstar.operators import Limits, distinct_rows
 from inspectstar.plans import jobs
 from inspectstar.plans.dimensions import SPECS, build_dimension, members
 from inspectstar.plans.inspections import build_inspections, inspection_rows
@@ -104,3 +104,15 @@ def test_large_outputs_fix_the_number_of_join_tasks(small_stage, star, scratch):
     dealt = re.findall(r"hashpartitioning\(.*?, (\d+)\), REPARTITION_BY_NUM", plan)
     assert dealt == ["40", "40"]  # 19,878 pairs, 1000 per task, twice the tasks
     assert not re.search(r"hashpartitioning\(__[lr]0.*ENSURE_REQUIREMENTS", plan)
+
+
+def test_distinct_rows_are_dealt_to_bounded_tasks(small_stage, scratch, monkeypatch):
+    """The visits of a stored table pass an exchange of their own before they are grouped."""
+    rows = small_stage.select("camis", "boro", "phone", "bin")
+    want = sorted(map(repr, rows.distinct().collect()))
+    for most, exchanges in ((1_000_000, 1), (500, 2)):
+        monkeypatch.setattr("inspectstar.operators.skew.DISTINCT_ROWS", most)
+        got = distinct_rows(rows)
+        assert sorted(map(repr, got.collect())) == want
+        assert len(re.findall(r"^\(\d+\) Exchange", plan_of(got), re.M)) >= exchanges
+    assert re.search(r"hashpartitioning\(.*__deal.*, 12\)", plan_of(got))
