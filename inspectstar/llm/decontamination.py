@@ -40,11 +40,10 @@ WIDTH = 12
 LEAST = 5
 LITERAL = 6
 
-#: Bits of the table of benchmark windows, at most; of a known word once there are more
-#: different ones than ``KNOWN``.
+#: Bits of the table of benchmark windows, at most.
 TABLE_BITS = 24
+#: Known words that are broadcast, at most: more of them are joined with the texts' openers.
 KNOWN = 2_000_000
-KNOWN_BITS = 22
 
 # Words for numbers and units, in English, German, French and Spanish.
 NUMBERS = (
@@ -132,6 +131,10 @@ class _Parts:
     opens: np.ndarray  # a sentence
     any_capital: np.ndarray
 
+    def openers(self) -> np.ndarray:
+        """Places of the words that are names unless they are known."""
+        return np.flatnonzero(self.capital & self.opens)
+
     def lower(self) -> np.ndarray:
         """Hashes of the different words in lower case."""
         return np.unique(self.value[~self.number & ~self.unit & ~self.any_capital])
@@ -210,17 +213,28 @@ def _parts(words: Words) -> _Parts:
 class Known:
     """Words that may open a sentence without being names, by hash, sorted.
 
-    Of more than ``KNOWN`` words only the first bits are kept; then a few others count as known
-    too, the same ones in documents and benchmark.
+    Where more than ``KNOWN`` words are known, each text brings along those of its own openers
+    (``_with_known``), and ``words`` holds those of a batch of texts.
     """
 
     words: np.ndarray
-    bits: int = 64
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(hashes), dtype=bool)
-        return _member(hashes >> np.uint64(64 - self.bits), self.words)
+        return _member(hashes, self.words)
+
+    @classmethod
+    def of(cls, hashes: np.ndarray) -> Known:
+        return cls(np.unique(hashes.astype(np.int64).view(np.uint64)))
+
+
+def _batch_known(batch: pa.RecordBatch, known: Known | None) -> Known:
+    """``known``, or the known words that the batch brings along."""
+    if known is not None:
+        return known
+    words = batch.column("known").flatten().drop_null()
+    return Known.of(words.to_numpy(zero_copy_only=False))
 
 
 _Words = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -236,7 +250,7 @@ def template(words: Words, known: Known) -> tuple[_Words, _Words]:
     parts = _parts(words)
     value, offset = parts.value, parts.offset
     inside = parts.capital & ~parts.opens
-    opener = np.flatnonzero(parts.capital & parts.opens)
+    opener = parts.openers()
     owner = np.repeat(np.arange(len(offset) - 1), np.diff(offset)).astype(np.uint64)
     with np.errstate(over="ignore"):
         own = mix64(value + mix64(owner + np.uint64(1)))
@@ -267,6 +281,30 @@ def _lower_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["word"])
 
 
+def _opener_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_key, text) to (text_key, word): the different openers of each text."""
+    for batch in batches:
+        keys = batch.column("text_key").to_numpy()
+        for piece in slices(batch.column("text")):
+            parts = _parts(piece.words())
+            place = parts.openers()
+            owner = np.searchsorted(parts.offset, place, side="right") - 1
+            found = np.unique(
+                np.stack([keys[owner + piece.first], parts.value[place].view(np.int64)]), axis=1
+            )
+            arrays = [pa.array(column) for column in found]
+            yield pa.RecordBatch.from_arrays(arrays, names=["text_key", "word"])
+
+
+def _with_known(rows: DataFrame, lower: DataFrame) -> DataFrame:
+    """``rows`` (text_key, text, ...) with ``known``: the text's openers that are in ``lower``."""
+    texts = rows.select("text_key", "text")
+    openers = texts.mapInArrow(_opener_words, "text_key long, word long").distinct()
+    known = openers.join(lower, "word", "left_semi").groupBy("text_key")
+    known = known.agg(F.collect_list("word").alias("known"))
+    return rows.join(known, "text_key", "left").select(*rows.columns, "known")
+
+
 @dataclass
 class Table:
     """Which window hashes the benchmark may have: a bit for each value of their first bits.
@@ -296,8 +334,8 @@ def _run_hashes(values: np.ndarray, widths: list[int]) -> Iterator[tuple[int, np
         yield width, mix64(total)
 
 
-def _windows(widths: list[int], known: Known, table: Table | None) -> callable:
-    """A function for mapInArrow: (key..., text) to (key..., alone, width, pos, hash, slots, total).
+def _windows(widths: list[int], known: Known | None, table: Table | None) -> callable:
+    """A function for mapInArrow: (key..., text, known if that is not given) to (key..., alone, width, pos, hash, slots, total).
 
     Windows have the hash of their template or, if that has too few literal words, of the
     words alone, a run of names taken apart. Without ``table`` the texts are the benchmark:
@@ -332,10 +370,11 @@ def _windows(widths: list[int], known: Known, table: Table | None) -> callable:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.drop_columns(["text"])
+            own = _batch_known(batch, known)
+            keys = batch.select([c for c in batch.schema.names if c not in ("text", "known")])
             for piece in slices(batch.column("text")):
                 found = []
-                for alone, words in enumerate(template(piece.words(), known)):
+                for alone, words in enumerate(template(piece.words(), own)):
                     _, value, slot, offset = words
                     slots = np.flatnonzero(slot)
                     for width, start, owner, hashes in chosen(words, bool(alone)):
@@ -388,11 +427,12 @@ def _table(wanted: DataFrame) -> Table:
     return Table(bits, flags, frozenset((bool(r.alone), r.width) for r in kinds))
 
 
-def _template_length(known: Known) -> callable:
+def _template_length(known: Known | None) -> callable:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch.column(0)):
-                offsets = [found[3] for found in template(piece.words(), known)]
+            own = _batch_known(batch, known)
+            for piece in slices(batch.column("text")):
+                offsets = [found[3] for found in template(piece.words(), own)]
                 size = np.minimum(np.concatenate([np.diff(o) for o in offsets]), WIDTH)
                 yield pa.RecordBatch.from_arrays([pa.array(size)], names=["size"])
 
@@ -413,13 +453,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFram
     the document's text.
     """
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
+    doc_kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    docs = docs.where("text is not null")
     lower = items.select("text").mapInArrow(_lower_words, "word long").distinct()
-    bits = 64 if lower.count() <= KNOWN else KNOWN_BITS
-    first = F.shiftrightunsigned("word", 64 - bits).alias("word")  # 2 ** KNOWN_BITS, or KNOWN
-    rows = lower.select(first).distinct().toPandas()
-    known = Known(np.sort(rows["word"].to_numpy(dtype=np.int64).view(np.uint64)), bits)
+    lower = scratch.keep(lower, "known-words")
+    if lower.count() <= KNOWN:
+        known = Known.of(lower.toPandas()["word"].to_numpy(dtype=np.int64))
+    else:
+        # The same words are known either way: texts learn by a join which of theirs are.
+        known = None
+        keyed = items.select("item_id", F.xxhash64("text").alias("text_key"), "text")
+        items = scratch.keep(_with_known(keyed, lower).drop("text_key"), "items")
+        docs = _with_known(docs, lower)
     # At most WIDTH different lengths.
-    lengths = items.select("text").mapInArrow(_template_length(known), "size long").distinct().collect()
+    texts = items.drop("item_id")
+    lengths = texts.mapInArrow(_template_length(known), "size long").distinct().collect()
     widths = sorted({int(r.size) for r in lengths if r.size >= LEAST} | {WIDTH})
     schema = "alone int, width int, pos int, hash long, slots array<long>, total int"
     item_kind = items.schema["item_id"].dataType.simpleString()
@@ -434,9 +483,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFram
         F.col("slots").alias("item_slots"),
         "total",
     )
-    doc_kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    windows = texts.where("text is not null").mapInArrow(
+    windows = docs.mapInArrow(
         _windows(widths, known, table), f"doc_id {doc_kind}, text_key long, {schema}"
     )
     found = windows.drop("total", "alone", "width").join(wanted, F.col("hash") == F.col("item_hash"))

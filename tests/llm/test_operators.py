@@ -605,6 +605,32 @@ def test_full_tables_change_no_match(spark, frame, scratch, monkeypatch):
     assert {(r[0], r[2]) for r in found[0]} == {(0, 0), (1, 3), (2, 6), (3, 9), (8, 20)}
 
 
+def test_known_words_are_exact_at_any_number(spark, frame, odd, scratch, monkeypatch):
+    """Openers that the benchmark has in lower case are words, others names, however many it has."""
+    filler = "".join(f"word{'abcdefghij'[i % 10] * (i // 10 + 1)} " for i in range(300))
+    items = {
+        1: "Peter bought seven small red apples and gave them to the old man by the door",
+        2: "Large trees grow near the cold river where nine white cows stand in the shade",
+        3: filler + "large",
+    }
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    texts = [
+        items[1].replace("Peter", "Maria"),
+        items[2].replace("Large", "Small"),
+        items[2].replace("nine", "four"),
+        "so they say. " + items[1].replace("seven", "12"),
+    ]
+    found = []
+    for most in (2_000_000, 0):
+        monkeypatch.setattr(decontamination, "KNOWN", most)
+        # Once the words beyond KNOWN shared the bits of a table: of so few all were known.
+        monkeypatch.setattr(decontamination, "KNOWN_BITS", 1, raising=False)
+        rows = decontamination.matches(frame(texts).union(odd), bench, scratch).collect()
+        found.append(sorted(tuple(r) for r in rows))
+    assert found[0] == found[1]
+    assert {(0, 1), (2, 2), (3, 1)} <= {(r[0], r[2]) for r in found[0]}
+
+
 def test_decontamination_odd_rows(spark, odd, nothing, scratch):
     bench = odd.where("doc_id = 4").select(F.col("doc_id").alias("item_id"), "text")
     got = decontamination.matches(odd, bench, scratch).collect()
