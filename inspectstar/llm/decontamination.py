@@ -44,6 +44,8 @@ LITERAL = 6
 TABLE_BITS = 24
 #: Known words that are broadcast, at most: more of them are joined with the texts' openers.
 KNOWN = 2_000_000
+#: Text bytes whose words are held at once: a worker needs some 100 times as many for them.
+SLICE_BYTES = 250_000
 
 # Words for numbers and units, in English, German, French and Spanish.
 NUMBERS = (
@@ -140,18 +142,25 @@ class _Parts:
         return np.unique(self.value[~self.number & ~self.unit & ~self.any_capital])
 
 
+def _before(marked: np.ndarray) -> np.ndarray:
+    """For each byte, and the end, the number of marked bytes before it."""
+    total = np.zeros(len(marked) + 1, dtype=np.int32)  # a text has less than 2 GB
+    np.cumsum(marked, dtype=np.int32, out=total[1:])
+    return total
+
+
 def _parts(words: Words) -> _Parts:
     raw = words.piece.data
     lowered = words.piece.lowered().data
     core = _CORE[raw]
-    place = np.arange(len(raw))
+    place = np.arange(len(raw), dtype=np.int32)
     following = np.minimum.accumulate(np.where(core, place, len(raw))[::-1])[::-1]
     previous = np.maximum.accumulate(np.where(core, place, -1))
     some = np.flatnonzero(following[words.start] < words.end) if len(words) else np.zeros(0, dtype=int)
     start, end = following[words.start[some]], previous[words.end[some] - 1] + 1
     offset = np.searchsorted(some, words.offset)
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
-    letters = np.concatenate([[0], np.cumsum(core & ~_DIGIT[raw])])
+    digits = _before(_DIGIT[raw])
+    letters = _before(core & ~_DIGIT[raw])
     # Where the letters of a word begin that has digits before its only letters.
     letter = np.minimum.accumulate(np.where(core & ~_DIGIT[raw], place, len(raw))[::-1])[::-1]
     mixed = np.flatnonzero(
@@ -180,10 +189,10 @@ def _parts(words: Words) -> _Parts:
     begins[offset[:-1][offset[:-1] < len(start)]] = True
     # A sentence starts after a word with a closing mark, and on a new line.
     closed = np.zeros(len(start), dtype=bool)
-    closing = np.concatenate([[0], np.cumsum(_CLOSING[raw] | (raw == 0x0A))])
+    closing = _before(_CLOSING[raw] | (raw == 0x0A))
     if len(start) > 1:
         closed[1:] = closing[start[1:]] - closing[end[:-1]] > 0
-    capitals = np.concatenate([[0], np.cumsum(_UPPER[raw])])
+    capitals = _before(_UPPER[raw])
     number = (digits[end] - digits[start] > 0) & (letters[end] - letters[start] == 0)
     spelled = _member(value, _NUMBERS)
     number |= spelled | ordinal
@@ -276,7 +285,7 @@ def template(words: Words, known: Known) -> tuple[_Words, _Words]:
 
 def _lower_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch.column(0)):
+        for piece in slices(batch.column(0), SLICE_BYTES):
             found = _parts(piece.words()).lower()
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["word"])
 
@@ -285,7 +294,7 @@ def _opener_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(text_key, text) to (text_key, word): the different openers of each text."""
     for batch in batches:
         keys = batch.column("text_key").to_numpy()
-        for piece in slices(batch.column("text")):
+        for piece in slices(batch.column("text"), SLICE_BYTES):
             parts = _parts(piece.words())
             place = parts.openers()
             owner = np.searchsorted(parts.offset, place, side="right") - 1
@@ -372,7 +381,7 @@ def _windows(widths: list[int], known: Known | None, table: Table | None) -> cal
         for batch in batches:
             own = _batch_known(batch, known)
             keys = batch.select([c for c in batch.schema.names if c not in ("text", "known")])
-            for piece in slices(batch.column("text")):
+            for piece in slices(batch.column("text"), SLICE_BYTES):
                 found = []
                 for alone, words in enumerate(template(piece.words(), own)):
                     _, value, slot, offset = words
@@ -431,7 +440,7 @@ def _template_length(known: Known | None) -> callable:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = _batch_known(batch, known)
-            for piece in slices(batch.column("text")):
+            for piece in slices(batch.column("text"), SLICE_BYTES):
                 offsets = [found[3] for found in template(piece.words(), own)]
                 size = np.minimum(np.concatenate([np.diff(o) for o in offsets]), WIDTH)
                 yield pa.RecordBatch.from_arrays([pa.array(size)], names=["size"])

@@ -36,6 +36,8 @@ MOST_LANGUAGES = 512
 EVIDENCE = 40.0
 MARGIN = 0.05
 SMOOTHING = 0.5
+#: Text bytes whose grams are held at once.
+SLICE_BYTES = 250_000
 
 _N_BINS = 256 + sum(BINS) + 1  # the last bin takes grams that reach into the next text
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -71,7 +73,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang in sorted(set(langs)):
             own = batch.column("text").filter(pa.array(langs == lang))
             total = counts.setdefault(lang, np.zeros(_N_BINS, dtype=np.int64))
-            for piece in slices(own):
+            for piece in slices(own, SLICE_BYTES):
                 for bins in _grams(piece.data, piece.bounds):
                     total += np.bincount(bins, minlength=_N_BINS)
     for lang, total in counts.items():
@@ -160,7 +162,7 @@ def decode(model: LanguageModel, margins: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _margins(model: LanguageModel, texts: pa.Array) -> np.ndarray:
     out = np.zeros((len(texts), len(model.ratio)))
-    for piece in slices(texts):
+    for piece in slices(texts, SLICE_BYTES):
         size = np.diff(piece.bounds)
         some = np.flatnonzero(size > 0)
         if not len(some):

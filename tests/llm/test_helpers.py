@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +12,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from inspectstar.llm import jaccard, language, lm, quality, repeats, toxicity
+from inspectstar.llm import decontamination, jaccard, language, lm, quality, repeats, toxicity, words
 from inspectstar.llm.words import runs, slices, within
+from tests.llm.conftest import prose
 
 TEXT = st.text(alphabet="ab \t\né Z.", max_size=30)
 
@@ -204,3 +206,78 @@ def test_more_runs_for_more_recall():
     depth, runs_ = jaccard.tree_shape(10_000, 0.8, 0.9)
     assert jaccard.tree_shape(10_000, 0.8, 0.999)[1] > runs_
     assert jaccard.tree_shape(10_000_000, 0.8, 0.9)[0] > depth
+
+
+def _benchmark_and_texts():
+    """Known words and windows of three questions, and 2 MB of texts that hold some of them."""
+    questions = [prose(i, 30) for i in range(3)]
+    batch = pa.RecordBatch.from_pydict({"text": questions})
+    known = np.concatenate([b.column(0).to_numpy() for b in decontamination._lower_words(iter([batch]))])
+    known = decontamination.Known.of(known)
+    items = pa.RecordBatch.from_pydict({"item_id": [0, 1, 2], "text": questions})
+    cut = decontamination._windows([decontamination.WIDTH], known, None)
+    hashes = np.concatenate([b.column("hash").to_numpy() for b in cut(iter([items]))])
+    flags = np.zeros(1 << 20, dtype=bool)
+    flags[hashes.view(np.uint64) >> np.uint64(44)] = True
+    table = decontamination.Table(20, flags, frozenset([(False, 12), (True, 12)]))
+    texts = [prose(10 + i, 300) + " " + questions[i % 3] if i % 2 else prose(10 + i, 300) for i in range(800)]
+    texts[5:9] = [None, "", " \n ", "Alone 3 km."]
+    return known, table, pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+
+
+def _rows(batches):
+    return sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
+
+
+def test_windows_of_a_batch_need_little_memory_at_once(monkeypatch):
+    """Executors share their memory with two workers or more: a few MB of texts may not take hundreds."""
+    known, table, texts = _benchmark_and_texts()
+    assert texts.nbytes > 1_900_000
+    cut = decontamination._windows([decontamination.WIDTH], known, table)
+    tracemalloc.start()
+    try:
+        got = list(cut(iter([texts])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50_000_000
+    assert sum(len(b) for b in got) >= 390 * 19
+    for size in (1, 10_000, 1 << 40):
+        monkeypatch.setattr(decontamination, "SLICE_BYTES", size)
+        assert _rows(cut(iter([texts]))) == _rows(got)
+
+
+def test_grams_of_a_batch_need_little_memory_at_once(monkeypatch):
+    texts = _benchmark_and_texts()[2].column("text")
+    model = language.LanguageModel(
+        ["de", "en", "fr"],
+        language.codewords(3),
+        np.ones((3, 3)) / 3,
+        np.random.default_rng(0).random((3, language._N_BINS)).astype(np.float32),
+    )
+    rows = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), texts], names=["lang", "text"])
+    tracemalloc.start()
+    try:
+        got = language._margins(model, texts), _rows(language._count_grams(iter([rows])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 30_000_000
+    for size in (1, 10_000, 1 << 40):
+        monkeypatch.setattr(language, "SLICE_BYTES", size)
+        assert (language._margins(model, texts) == got[0]).all()
+        assert _rows(language._count_grams(iter([rows]))) == got[1]
+
+
+def test_powers_follow_the_slices(monkeypatch):
+    """Workers that see small slices do not hold the powers of large ones."""
+    powers = words._Powers()
+    monkeypatch.setattr(words, "_powers", powers)
+    text = prose(3, 200).encode()
+    data = np.frombuffer(text, dtype=np.uint8)
+    first = words.span_hashes(data, np.array([0, 5]), np.array([4, 9]))
+    assert len(powers.up) <= 2 * len(text)
+    words.span_hashes(np.tile(data, 20), np.array([0]), np.array([4]))
+    assert words.span_hashes(data, np.array([0, 5]), np.array([4, 9])).tolist() == first.tolist()
+    powers.grow(words.SLICE_BYTES)
+    assert len(powers.up) <= words.SLICE_BYTES + 1
