@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import sys
 from types import SimpleNamespace
@@ -188,6 +189,32 @@ def test_summaries_notice_swapped_values(spark):
         assert (found[name].key_sum, found[name].key_text_sum) == (want.key_sum, want.key_text_sum)
 
 
+def test_summaries_are_exact_and_sum_longs(spark):
+    """Keys near 2^62 and long texts against plain arithmetic; no decimal a row."""
+    texts = ["x" * 12_345, "ä" * 99, "", None, "y" * 100]
+    rows = [(2**62 - i, 7 * i, t) for i, t in enumerate(texts)] + [(None, None, "z")]
+    df = spark.createDataFrame(rows, "A_SK bigint, B_SK int, T string")
+    summary = jobs._summary(df, "t")
+
+    def digest(row):
+        read = [None if v is None else str(v).encode() for v in row]
+        entries = b"".join(b"-" if v is None else b"%d:%s" % (len(v), v) for v in read)
+        return int(hashlib.md5(entries).hexdigest()[:12], 16)
+
+    size = [len((r[2] or "").encode()) for r in rows]
+    assert summary.first().asDict() == {
+        "table_name": "t",
+        "row_count": 6,
+        "key_sum": sum((r[0] or 0) + (r[1] or 0) for r in rows) % jobs.SUMMARY_MODULUS,
+        "key_text_sum": sum((r[0] or 0) * n for r, n in zip(rows, size)) % jobs.SUMMARY_MODULUS,
+        "row_sum": sum(map(digest, rows)) % jobs.SUMMARY_MODULUS,
+    }
+    # Decimals a row took most of the job's time on large tables.
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    sums = [line for line in plan.splitlines() if "partial_sum" in line]
+    assert sums and not any("decimal" in line for line in sums)
+
+
 @pytest.mark.parametrize("one_by_one", [False, True])
 def test_command_line(spark, small_stage, tmp_path, monkeypatch, one_by_one):
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
