@@ -181,3 +181,18 @@ def test_grown_shares_give_the_same_pairs(spark):
     assert found[0][0] == found[1][0]
     assert len(found[0][0]) == 200 * 150 + 50
     assert found[1][1] < found[0][1]
+
+
+def test_rows_of_many_join_tasks_are_not_copied_again(spark):
+    """As many tasks as asked for; only where Spark would raise their number are they merged."""
+    rows = spark.range(40).selectExpr("id AS l", "id % 7 AS k")
+    other = spark.range(40).selectExpr("id AS r", "id % 7 AS m")
+    groups = group_pairs(rows, other, {"k": "m"})
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for pairs_per_task, merged in ((10_000, least > 2), (1, False)):
+        limits = Limits(pairs_per_task=pairs_per_task)
+        pairs = join_groups(rows, other, {"k": "m"}, groups, "l", "r", limits)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert ("Coalesce" in plan) == merged
+        assert pairs.rdd.getNumPartitions() == 2 if merged else pairs.rdd.getNumPartitions() >= least
+        assert pairs.count() == sum((-(-(40 - i) // 7)) ** 2 for i in range(7))
