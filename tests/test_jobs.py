@@ -15,8 +15,10 @@ from inspectstar.__main__ import JOBS, main
 from inspectstar.operators import Limits, numbering
 from inspectstar.plans import jobs
 from inspectstar.plans.dimensions import SPECS
+from inspectstar.plans.driver_stage import derive_stage
 from inspectstar.queries import QUERIES
 from inspectstar.scratch import Scratch, shared_folder
+from inspectstar.sinks import write_stage
 from inspectstar.sources import read_stage, read_table
 from tests.conftest import TESTDATA, tuples
 
@@ -256,3 +258,24 @@ def test_staging_is_dealt_to_files_by_its_rows(spark, monkeypatch):
     got = QUERIES["sink_repartition"](spark, f"{TESTDATA}/sf0.001")
     assert len(got.inputFiles()) == max(20, spark.sparkContext.defaultParallelism)
     assert got.count() == 6_000
+
+
+def test_visits_stay_together_in_staging_files(spark, tmp_path):
+    """Rows of a visit share a file; those without a place are dealt to all."""
+    visits = spark.range(2000).selectExpr(
+        "cast(id % 400 as string) AS camis", "'2024-01-01' AS inspection_date", "cast(id as string) AS score"
+    )
+    nowhere = visits.withColumn("camis", F.lit(None).cast("string")).limit(600)
+    write_stage(visits.unionAll(nowhere), f"{tmp_path}/stage", 8)
+    rows = spark.read.parquet(f"{tmp_path}/stage").withColumn("file", F.input_file_name())
+    files = dict(rows.groupBy("camis").agg(F.count_distinct("file")).collect())
+    assert files.pop(None) == 8 and len(files) == 400 and set(files.values()) == {1}
+    assert rows.count() == 2600
+
+
+def test_line_items_are_shuffled_once_less(spark):
+    """Places meet the orders, not the line items."""
+    plan = derive_stage(spark, f"{TESTDATA}/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    depth = {key: next(j.index("Join") for j in joins if key in j) for key in ("o_custkey", "l_orderkey")}
+    assert depth["o_custkey"] > depth["l_orderkey"]
